@@ -81,7 +81,7 @@ def order_headers(
     # One row per calendar day: a bound that does not grow with the orders.
     days = F.broadcast(dates.select("calendar_date", F.col("date_dim_hk").alias("order_date_dim_key")))
     rows = (
-        orders.join(latest, orders["order_id"] == latest["order_id_fk"], "left").drop("order_id_fk")
+        orders.join(latest, F.col("order_id") == F.col("order_id_fk"), "left").drop("order_id_fk")
         .withColumn("_day", F.to_date("order_date"))
         .join(days, F.col("_day") == F.col("calendar_date"), "left")
         .drop("_day", "calendar_date")
@@ -99,7 +99,7 @@ def order_item_fact(
 ) -> DataFrame:
     """One row per order line: its header's keys plus the lookups of the line itself."""
     head = headers.drop(*[c for c in headers.columns if c in items.columns and c != "order_id"])
-    rows = items.join(head, items["order_id_fk"] == head["order_id"], "left").drop("order_id")
+    rows = items.join(head, F.col("order_id_fk") == F.col("order_id"), "left").drop("order_id")
     for item in lookups:
         rows = _attach(rows, item, current_only)
     rows = rows.withColumnRenamed("order_id_fk", "order_id").withColumn("quantity", whole_units(F.col("quantity")).cast("bigint"))

@@ -100,7 +100,7 @@ FROM {orders}"""
 
 ITEMS = """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_orderkey AS order_id_fk, l_partkey AS menu_id_fk,
        l_suppkey AS restaurant_id_fk, CAST(l_quantity AS DECIMAL(10,2)) AS quantity,
-       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) / CAST(l_quantity AS DECIMAL(10,2)) AS DECIMAL(10,2)) AS price,
+       CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(1 - l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS price,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS subtotal
 FROM {lineitem}"""
 ITEM_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
@@ -111,9 +111,13 @@ class Retail:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
+        self._dimensions: dict[tuple[str, bool], DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def sql(self, text: str, **fills: str) -> DataFrame:
         for name, value in fills.items():
@@ -133,6 +137,11 @@ class Retail:
 
     def dimension(self, entity: str, late_rows: bool = False) -> DataFrame:
         """The dimension after both loads."""
+        if (entity, late_rows) not in self._dimensions:
+            self._dimensions[entity, late_rows] = self._two_loads(entity, late_rows)
+        return self._dimensions[entity, late_rows]
+
+    def _two_loads(self, entity: str, late_rows: bool) -> DataFrame:
         dim = self.role(entity)
         first = self.snapshot(entity, second=False, late_rows=late_rows)
         second = self.snapshot(entity, second=True)

@@ -18,6 +18,9 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # File sizes are compressed; estimates made before a run must not be.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.ansi.enabled": "true",
 }
 
