@@ -1,0 +1,127 @@
+import datetime as dt
+import hashlib
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from larder.functions import casts, keys, mapping, masking
+from larder.functions.dates import month_name
+from larder.functions.text import format_inr
+
+
+def one(spark, value, column, type_name="string"):
+    df = spark.createDataFrame([(value,)], f"x {type_name}")
+    return df.select(column.alias("y")).first()["y"]
+
+
+@pytest.mark.parametrize(
+    "text, expected", [("12", 12), (" 12 ", 12), ("12.6", 13), ("12.5", 13), ("-7", -7), ("abc", None), ("", None), (None, None)]
+)
+def test_try_long(spark, text, expected):
+    assert one(spark, text, casts.try_long("x")) == expected
+
+
+@pytest.mark.parametrize("text, expected", [("12.345", Decimal("12.35")), ("123456789.00", None), ("x", None)])
+def test_try_decimal(spark, text, expected):
+    assert one(spark, text, casts.try_decimal("x", 10, 2)) == expected
+
+
+def test_strict_cast_stops_on_bad_text(spark):
+    with pytest.raises(PySparkException):
+        one(spark, "abc", casts.strict("x", "bigint"))
+    with pytest.raises(PySparkException):
+        one(spark, "31/12/2024", casts.strict_timestamp("x"))
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("2024-01-02 03:04:05", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("2024-01-02T03:04:05", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("2024-01-02 03:04:05.678901234", dt.datetime(2024, 1, 2, 3, 4, 5, 678901)),
+        ("2024-01-02T03:04:05.6", dt.datetime(2024, 1, 2, 3, 4, 5, 600000)),
+        ("01/02/2024 03:04:05", dt.datetime(2024, 1, 2, 3, 4, 5)),
+        ("2024-01-02", dt.datetime(2024, 1, 2)),
+        ("2024-13-40 00:00:00", None),
+        ("soon", None),
+        (None, None),
+    ],
+)
+def test_timestamp_layouts(spark, text, expected):
+    assert one(spark, text, casts.try_timestamp("x").cast("timestamp_ntz")) == expected
+
+
+@pytest.mark.parametrize("text, expected", [("TRUE", True), ("False", False), ("maybe", None), (None, None)])
+def test_parse_boolean(spark, text, expected):
+    assert one(spark, text, casts.parse_boolean("x")) is expected
+
+
+def test_place_rules(spark):
+    data = [("Delhi", "New Delhi"), ("Maharashtra", "Mumbai"), ("Atlantis", "Agra"), ("Goa", "Panaji"), (None, None)]
+    df = spark.createDataFrame(data, "state string, city string")
+    got = df.select(
+        mapping.state_name(F.col("state")),
+        mapping.state_code(F.col("state")),
+        mapping.union_territory(F.col("state")),
+        mapping.capital_city(F.col("state"), F.col("city")),
+        mapping.city_tier(F.col("city")),
+    ).collect()
+    assert [tuple(r) for r in got] == [
+        ("New Delhi", "DL", True, True, "Tier-3"),
+        ("Maharashtra", "MH", False, True, "Tier-1"),
+        ("Atlantis", "xx", False, False, "Tier-2"),
+        ("Goa", "GA", False, False, "Tier-3"),
+        (None, "xx", False, False, "Tier-3"),
+    ]
+
+
+def test_hash_key_is_the_sha1_prefix(spark):
+    text = "1\x1f\x00\x1fa"
+    expected = int(hashlib.sha1(text.encode()).hexdigest()[:15], 16)
+    df = spark.createDataFrame([(1, None, "a")], "i int, n string, s string")
+    assert df.select(keys.hash_key("i", "n", "s")).first()[0] == expected
+
+
+def test_hash_key_keeps_nulls_and_neighbours_apart(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("ab", "c"), ("a", "bc"), ("a", "")], "x string, y string")
+    assert df.select(keys.hash_key("x", "y").alias("k")).distinct().count() == 5
+
+
+def test_concat_is_null_with_any_null(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "i int, s string")
+    assert [r[0] for r in df.orderBy("i").select(keys.concat_columns("i", "s")).collect()] == ["1a", None]
+
+
+@pytest.mark.parametrize(
+    "value, decimals, expected",
+    [("1234567.25", 1, "₹1,234,567.2"), ("1234567.35", 1, "₹1,234,567.4"), ("2.50", 0, "₹2"), (None, 0, "—"), ("-1234.00", 0, "₹-1,234")],
+)
+def test_format_inr(spark, value, decimals, expected):
+    value = None if value is None else Decimal(value)
+    assert one(spark, value, format_inr(F.col("x"), decimals), "decimal(18,2)") == expected
+
+
+def test_month_names(spark):
+    df = spark.range(0, 14).select(F.col("id").cast("int").alias("m"))
+    got = [r[0] for r in df.orderBy("m").select(month_name(F.col("m"))).collect()]
+    assert got == ["0", "Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec", "13"]
+
+
+def test_ratio_rounds_half_up(spark):
+    df = spark.createDataFrame([(Decimal("5.35"), 2)], "t decimal(18,2), n bigint")
+    assert df.select(casts.round_ratio(F.col("t"), F.col("n"))).first()[0] == Decimal("2.68")
+
+
+def test_masks_follow_tags_and_cover_nulls(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x@y", None)], "id int, email string, dob date")
+    df = masking.tag_columns(df, {"email": "EMAIL", "dob": "PII"})
+    df.write.parquet(str(tmp_path / "tagged"))
+    back = spark.read.parquet(str(tmp_path / "tagged"))
+    assert masking.tagged_columns(back) == {"email": "EMAIL", "dob": "PII"}
+    masked = masking.mask_tagged(back)
+    assert tuple(masked.first()) == (1, "** EMAIL **", "** PII **")
+    assert masking.tagged_columns(masked) == {"email": "EMAIL", "dob": "PII"}
+    with pytest.raises(ValueError):
+        masking.tag_columns(df, {"id": "SECRET"})
