@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        spark_sql_shuffle_partitions="8",
+        spark_sql_shuffle_partitions="4",
         spark_ui_enabled="false",
         **{"spark_checkpoint_dir": str(tmp_path_factory.mktemp("shared"))},
     )

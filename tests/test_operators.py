@@ -71,7 +71,7 @@ def test_change_set_sees_rows_of_nulls_appear(spark, rows):
 keyed = st.dictionaries(st.integers(1, 6), st.tuples(st.sampled_from(["x", "y", None]), st.sampled_from(["p", None])), max_size=6)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(keyed, keyed)
 def test_merge_matches_dict_update_and_is_idempotent(spark, t, s):
     target = snap(spark, *[(k, *v) for k, v in t.items()])
