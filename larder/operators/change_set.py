@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.columns import pack, quoted
+
 ACTION = "_action"
 IS_UPDATE = "_is_update"
 INSERT = "INSERT"
@@ -26,22 +28,20 @@ def change_set(
     """
     payload = [c for c in new.columns if c not in keys]
     compare = list(payload if compare is None else compare)
-    before = old.select(*keys, F.struct(F.lit(1).alias("_side"), *payload).alias("_old"))
-    after = new.select(*keys, F.struct(F.lit(1).alias("_side"), *payload).alias("_new"))
-
-    def attrs(side: str):
-        return F.struct(*[F.col(f"{side}.{c}") for c in ("_side", *compare)])
-
-    in_both = F.col("_old").isNotNull() & F.col("_new").isNotNull()
+    # _side keeps a struct apart from a missing one even if all columns are NULL.
+    side = f"struct(1 AS _side{''.join(', ' + quoted(c) for c in payload)})"
+    before = old.select(*keys, F.expr(side).alias("_old"))
+    after = new.select(*keys, F.expr(side).alias("_new"))
+    compared = ["_side", *compare]
 
-    def change(action: str, side: str):
-        fields = [F.col(f"{side}.{c}").alias(c) for c in payload]
-        tags = [F.lit(action).alias(ACTION), in_both.alias(IS_UPDATE)]
-        return F.when(F.col(side).isNotNull(), F.struct(*fields, *tags))
+    def change(action: str, name: str) -> str:
+        fields = "".join(f"{name}.{quoted(c)}, " for c in payload)
+        tags = f"'{action}' AS {ACTION}, _old IS NOT NULL AND _new IS NOT NULL AS {IS_UPDATE}"
+        return f"CASE WHEN {name} IS NOT NULL THEN struct({fields}{tags}) END"
 
     return (
         before.join(after, list(keys), "full_outer")
-        .where(~attrs("_old").eqNullSafe(attrs("_new")))
-        .select(*keys, F.inline(F.array_compact(F.array(change(DELETE, "_old"), change(INSERT, "_new")))))
+        .where(~pack(compared, "_old.").eqNullSafe(pack(compared, "_new.")))
+        .select(*keys, F.expr(f"inline(array_compact(array({change(DELETE, '_old')}, {change(INSERT, '_new')})))"))
         .select(*new.columns, ACTION, IS_UPDATE)
     )

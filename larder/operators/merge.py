@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.columns import listed, quoted
+
 
 def merge_upsert(
     target: DataFrame,
@@ -41,33 +43,26 @@ def merge_upsert(
     rest = [c for c in target.columns if c not in keys]
     fields = {f.name: f for f in target.schema.fields}
 
-    incoming = source.select(
-        *[F.col(k).cast(fields[k].dataType) for k in keys],
-        F.struct(
-            F.lit(1).alias("_side"), *[F.col(c).cast(fields[c].dataType).alias(c) for c in shared]
-        ).alias("_s"),
-    )
-    kept = target.select(*keys, F.struct(F.lit(1).alias("_side"), *rest).alias("_t"))
+    def cast(c: str, prefix: str = "") -> str:
+        return f"CAST({prefix}{quoted(c)} AS {fields[c].dataType.simpleString()})"
 
-    matched = F.col("_t").isNotNull() & F.col("_s").isNotNull()
-    if changed_on:
-        t_side = F.struct(*[F.col(f"_t.{c}") for c in changed_on])
-        s_side = F.struct(*[F.col(f"_s.{c}") for c in changed_on])
-        matched = matched & ~t_side.eqNullSafe(s_side)
+    taken = "".join(f", {cast(c)} AS {quoted(c)}" for c in shared)
+    incoming = source.selectExpr(*[f"{cast(k)} AS {quoted(k)}" for k in keys], f"struct(1 AS _side{taken}) AS _s")
+    kept = target.selectExpr(*map(quoted, keys), f"struct(1 AS _side{''.join(', ' + quoted(c) for c in rest)}) AS _t")
 
-    def incoming_value(c: str) -> Column:
-        return F.col(f"_s.{c}") if c in shared else F.lit(None).cast(fields[c].dataType)
+    matched = "_t IS NOT NULL AND _s IS NOT NULL"
+    if changed_on:
+        matched += f" AND NOT (struct({listed(changed_on, '_t.')}) <=> struct({listed(changed_on, '_s.')}))"
 
-    def next_value(c: str) -> Column:
-        value = F.col(f"_t.{c}")
-        if c in update_cols:
-            value = F.when(matched, incoming_value(c)).otherwise(value)
-        new = incoming_value(c) if c in insert_cols else F.lit(None).cast(fields[c].dataType)
-        return F.when(F.col("_t").isNull(), new).otherwise(value)
+    def next_value(c: str) -> str:
+        new = f"_s.{quoted(c)}" if c in shared else "NULL"
+        first = new if c in insert_cols else "NULL"
+        updated = f"WHEN {matched} THEN {new}" if c in update_cols else ""
+        value = f"CASE WHEN _t IS NULL THEN {first} {updated} ELSE _t.{quoted(c)} END"
+        return f"CAST({value} AS {fields[c].dataType.simpleString()}) AS {quoted(c)}"
 
     def finish(joined: DataFrame) -> DataFrame:
-        out = [F.col(c) if c in keys else next_value(c).alias(c) for c in target.columns]
-        return joined.select(*out)
+        return joined.selectExpr(*[quoted(c) if c in keys else next_value(c) for c in target.columns])
 
     if small_source:
         updated = finish(kept.join(incoming, keys, "left"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.functions.columns import pack, quoted
 from larder.functions.keys import hash_key
 from larder.operators.change_set import ACTION, DELETE, INSERT, IS_UPDATE
 
@@ -83,37 +84,38 @@ def apply_scd2(
         return _apply_literal(table, changes, dim, ts)
     if mode != "corrected":
         raise ValueError(f"unknown mode: {mode}")
+    if mode != "corrected":
+        raise ValueError(f"unknown mode: {mode}")
+    return apply_rows(table, changes.where(F.col(ACTION) == INSERT), dim, ts)
+
 
+def apply_rows(table: DataFrame, rows: DataFrame, dim: Dimension, ts: datetime | Column) -> DataFrame:
+    """The dimension after its keys took on the values in ``rows``, one row per key.
+
+    The corrected rules of ``apply_scd2`` for input that is a state rather than
+    a set of changes; rows equal to the current version change nothing, so the
+    state need not be compared with its predecessor first.
+    """
     body = [c for c in dim.columns if c not in dim.keys]
     types = {f.name: f.dataType for f in table.schema.fields}
-    typed = changes.where(F.col(ACTION) == INSERT).select(
-        *[F.col(c).cast(types[c]).alias(c) for c in (*dim.keys, *dim.attrs)]
+    typed = rows.selectExpr(
+        *[f"CAST({quoted(c)} AS {types[c].simpleString()}) AS {quoted(c)}" for c in (*dim.keys, *dim.attrs)]
     )
-    fresh = open_versions(typed, dim, ts).select(*dim.keys, F.struct(*body).alias("_new"))
-    current = table.where(F.col(dim.current)).select(*dim.keys, F.struct(*body).alias("_cur"))
+    fresh = open_versions(typed, dim, ts).select(*dim.keys, pack(body).alias("_new"))
+    current = table.where(F.col(dim.current)).select(*dim.keys, pack(body).alias("_cur"))
     history = table.where(~F.coalesce(F.col(dim.current), F.lit(False)))
 
-    def attrs(side: str) -> Column:
-        return F.struct(*[F.col(f"{side}.{a}") for a in dim.attrs])
-
-    opens = F.col("_new").isNotNull() & (
-        F.col("_cur").isNull() | ~attrs("_cur").eqNullSafe(attrs("_new"))
-    )
-    closed = {dim.end: _at(ts), dim.current: F.lit(False)}
-    cur_after = F.struct(
-        *[
-            F.when(opens, closed[c]).otherwise(F.col(f"_cur.{c}")).alias(c) if c in closed
-            else F.col(f"_cur.{c}").alias(c)
-            for c in body
-        ]
-    )
-    both = F.array(
-        F.when(F.col("_cur").isNotNull(), cur_after),
-        F.when(opens, F.col("_new")),
+    same = pack(dim.attrs, "_cur.").eqNullSafe(pack(dim.attrs, "_new."))
+    opens = F.col("_new").isNotNull() & (F.col("_cur").isNull() | ~same)
+    closing = {dim.end: "_at", dim.current: "false"}
+    cur_after = ", ".join(
+        f"IF(_opens, {closing[c]}, _cur.{quoted(c)}) AS {quoted(c)}" if c in closing else f"_cur.{quoted(c)}" for c in body
     )
+    both = f"array(CASE WHEN _cur IS NOT NULL THEN struct({cur_after}) END, CASE WHEN _opens THEN _new END)"
     live = (
         current.join(fresh, list(dim.keys), "full_outer")
-        .select(*dim.keys, F.inline(F.array_compact(both)))
+        .withColumns({"_opens": opens, "_at": _at(ts)})
+        .select(*dim.keys, F.expr(f"inline(array_compact({both}))"))
         .select(*dim.columns)
     )
     return _keep_metadata(history.select(*dim.columns).unionByName(live), table)

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.functions.keys import hash_key
-from larder.operators.change_set import change_set
-from larder.operators.scd2 import Dimension, apply_scd2, open_versions
+from larder.operators.scd2 import Dimension, apply_rows, open_versions
 from larder.plans import fact as fact_plan
 from larder.plans.date_dim import date_dim
 
@@ -146,7 +145,7 @@ class Retail:
         first = self.snapshot(entity, second=False, late_rows=late_rows)
         second = self.snapshot(entity, second=True)
         table = open_versions(first, dim, FIRST_LOAD)
-        return apply_scd2(table, change_set(first, second, dim.keys), dim, SECOND_LOAD)
+        return apply_rows(table, second, dim, SECOND_LOAD)
 
     @staticmethod
     def role(entity: str) -> Dimension:

@@ -154,8 +154,8 @@ query(
 def scalar_subquery(r: Retail) -> DataFrame:
     """Days between the first order of all and each order; the subquery is one row."""
     orders = r.orders()
-    return orders.crossJoin(F.broadcast(first_day(orders))).select(
-        "order_id", F.date_diff(F.to_date("order_date"), F.col("first_day")).alias("days_open")
+    return orders.select(
+        "order_id", F.date_diff(F.to_date("order_date"), first_day(orders).scalar()).alias("days_open")
     )
 
 

@@ -22,6 +22,8 @@ DEFAULTS = {
     # File sizes are compressed; estimates made before a run must not be.
     "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.ansi.enabled": "true",
+    # Recording a Python call site per column expression costs more than planning wide tables.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -131,6 +131,19 @@ def test_marts(spark, world):
     assert marts.daily(fact, world["dates"]).columns[:3] == ["year", "month", "day"]
 
 
+def test_views_answer_sql(spark, world):
+    stores = spark.createDataFrame([(1, "Store")], "restaurant_hk bigint, name string")
+    fact = build(world).withColumn("restaurant_dim_key", F.lit(1).cast("bigint"))
+    marts.register_views(fact, world["dates"], stores)
+    top = spark.sql(
+        """SELECT restaurant_name, total_revenue FROM vw_monthly_revenue_by_restaurant
+           WHERE year = 2024 AND month = 1 ORDER BY total_revenue DESC LIMIT 5"""
+    )
+    assert top.collect() == [("Store", Decimal("12.00"))]
+    for name in marts.VIEW_NAMES:
+        assert spark.table(name).count() > 0
+
+
 def test_year_over_year_leaves_gaps_empty(spark):
     cols = "year int, total_revenue decimal(18,2), total_orders bigint, avg_revenue_per_order decimal(18,2), avg_revenue_per_item decimal(18,2), max_order_value decimal(18,2)"
     one = Decimal(1)

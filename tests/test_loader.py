@@ -79,6 +79,21 @@ def test_wrong_delimiter_is_quarantined(spark, tmp_path):
     assert [r["locationid"] for r in s.loader.quarantined().collect()] == ["9|City|State|1|Yes|2024-01-01|2024-01-01"]
 
 
+def test_rows_without_a_usable_key_are_quarantined(spark, tmp_path):
+    line = "{0},{1},Indian,5,555,9-5,7,Yes,Open,Here,Road,1,1,2024-01-01 10:00:00,2024-01-01 10:00:00"
+    s = Stage(spark, tmp_path, schemas.RESTAURANT)
+    s.deliver("a.csv", line.format("abc", "One"), line.format("\\N", "Two"), line.format("3", "Three"))
+    assert s.clean("restaurant_id", "name") == [(3, "Three")]
+    assert sorted(r["name"] for r in s.loader.quarantined().collect()) == ["One", "Two"]
+
+
+def test_enforced_rules_stop_the_load(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION, enforce=True)
+    with pytest.raises(StreamingQueryException, match="zip_code max_length_10: 1 rows"):
+        s.deliver("a.csv", LOC.format(1, "Agra", "Goa", "12345678901", 1))
+    assert s.clean("location_id") == []
+
+
 def test_only_bad_rows(spark, tmp_path):
     s = Stage(spark, tmp_path, schemas.LOCATION)
     s.deliver("bad.csv", "9|City")
