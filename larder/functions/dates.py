@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def moment(ts: datetime | Column) -> Column:
+    """A wall-clock time, the same in every session time zone."""
+    if isinstance(ts, Column):
+        return ts.cast("timestamp_ntz")
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def date_parts(day: Column) -> dict[str, Column]:
     """Calendar columns of a date. Weeks are ISO weeks, Sunday is day 0."""
     return {

@@ -47,7 +47,7 @@ def lookup_along_history(
     at: str,
     take: str,
     name: str,
-    bucket: str = "day",
+    bucket: str = "hour",
 ) -> DataFrame:
     """As-of lookup for keys whose history is as long as their facts.
 
@@ -72,6 +72,8 @@ def lookup_along_history(
     )
     line = starts.unionByName(probes).withColumn("_piece", F.date_trunc(bucket, "_at"))
 
+    # Reads no fact columns, and each task reduces its rows to one per key and
+    # piece before this small side is shuffled.
     across = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         line.groupBy(*piece).agg(F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at"))).alias("_last"))

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larder.functions.columns import pack, quoted
+from larder.functions.dates import moment
 from larder.functions.keys import hash_key
 from larder.operators.change_set import ACTION, DELETE, INSERT, IS_UPDATE
 
@@ -47,13 +50,9 @@ class Dimension:
         return snapshot.sparkSession.createDataFrame([], T.StructType(fields))
 
 
-def _at(ts: datetime | Column) -> Column:
-    return (ts if isinstance(ts, Column) else F.lit(ts)).cast("timestamp_ntz")
-
-
 def open_versions(rows: DataFrame, dim: Dimension, ts: datetime | Column) -> DataFrame:
     """One open version per row, starting at ``ts``."""
-    start = _at(ts)
+    start = moment(ts)
     return rows.select(
         hash_key(*dim.keys, *dim.attrs, start).alias(dim.hash_key),
         *dim.keys,
@@ -114,7 +113,7 @@ def apply_rows(table: DataFrame, rows: DataFrame, dim: Dimension, ts: datetime |
     both = f"array(CASE WHEN _cur IS NOT NULL THEN struct({cur_after}) END, CASE WHEN _opens THEN _new END)"
     live = (
         current.join(fresh, list(dim.keys), "full_outer")
-        .withColumns({"_opens": opens, "_at": _at(ts)})
+        .withColumns({"_opens": opens, "_at": moment(ts)})
         .select(*dim.keys, F.expr(f"inline(array_compact({both}))"))
         .select(*dim.columns)
     )
@@ -130,7 +129,7 @@ def _apply_literal(table: DataFrame, changes: DataFrame, dim: Dimension, ts) ->
     hit = F.coalesce(F.col("_gone"), F.lit(False))
     closed = table.join(gone, on, "left").select(
         *[c for c in dim.columns if c not in (dim.end, dim.current)],
-        F.when(hit, _at(ts)).otherwise(F.col(dim.end)).alias(dim.end),
+        F.when(hit, moment(ts)).otherwise(F.col(dim.end)).alias(dim.end),
         F.when(hit, F.lit(False)).otherwise(F.col(dim.current)).alias(dim.current),
     )
     added = changes.where(F.col(ACTION) == INSERT).join(table.select(*on), on, "left_anti")
@@ -147,7 +146,7 @@ def scd2_history(
     attrs: Sequence[str],
     ts: str,
     seq: str,
-    bucket: str = "day",
+    bucket: str = "hour",
 ) -> DataFrame:
     """All versions that replaying an ordered change log would leave behind.
 
@@ -155,13 +154,16 @@ def scd2_history(
     and windows run inside a piece, so a key with a third of the log is spread
     over as many tasks as it has pieces. The last state of earlier pieces and
     the first change of later pieces come from summaries with one row per key
-    and piece. The log itself is shuffled once.
+    and piece. Windows and summaries all read one shuffle of the log. Entries
+    without a key or a time have no place on any timeline.
     """
     keys = list(keys)
     piece = [*keys, "_piece"]
-    rows = log.select(*keys, *attrs, F.col(ts).alias("_ts"), F.col(seq).alias("_seq")).withColumn(
-        "_piece", F.date_trunc(bucket, "_ts")
-    )
+    named = [F.col(ts).alias("_ts"), F.col(seq).alias("_seq"), F.date_trunc(bucket, ts).alias("_piece")]
+    # The conditions spelled out are those the joins below imply; so all
+    # branches have the same input and share its shuffle.
+    present = reduce(and_, [F.col(c).isNotNull() for c in (*keys, ts)])
+    rows = log.where(present).select(*keys, *attrs, *named).repartition(*piece)
     state = F.struct(*attrs)
     across = Window.partitionBy(*keys).orderBy("_piece")
     inside = Window.partitionBy(*piece).orderBy("_ts", "_seq")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larder.functions.dates import moment
 from larder.functions.keys import key_text
 
 # The file format all staged files share.
@@ -110,11 +111,10 @@ def with_audit(rows: DataFrame, loaded_at: datetime | Column, keys: DataFrame) -
     Only files listed in ``keys`` stay. The file list is far smaller than its
     rows; Spark measures it and broadcasts it below its threshold.
     """
-    at = loaded_at if isinstance(loaded_at, Column) else F.lit(loaded_at)
     data = [c for c in rows.columns if c not in (FILE_PATH, *AUDIT_COLUMNS)]
     return (
         rows.join(keys.select(FILE_PATH, FILE_KEY), FILE_PATH)
-        .withColumn(LOADED_AT, at.cast("timestamp_ntz"))
+        .withColumn(LOADED_AT, moment(loaded_at))
         .select(*data, FILE_PATH, *AUDIT_COLUMNS)
     )
 
