@@ -23,8 +23,8 @@ def change_set(
     An update is the old row as DELETE plus the new row as INSERT, both with
     ``_is_update`` set. ``compare`` names the columns that make a row count as
     changed (all non-key columns by default), so that audit columns can travel
-    along without causing changes. Keys must be unique on each side; columns
-    are those of ``new``.
+    along without causing changes. Keys must be unique and filled on each
+    side; columns are those of ``new``.
     """
     payload = [c for c in new.columns if c not in keys]
     compare = list(payload if compare is None else compare)

@@ -111,6 +111,7 @@ class Retail:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._tables: dict[str, DataFrame] = {}
+        self._bound: dict[str, DataFrame] = {}
         self._dimensions: dict[tuple[str, bool], DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -121,8 +122,10 @@ class Retail:
     def sql(self, text: str, **fills: str) -> DataFrame:
         for name, value in fills.items():
             text = text.replace("{" + name + "}", value)
-        used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
-        return self.spark.sql(text, **used)
+        if text not in self._bound:
+            used = {t: self.table(t) for t in TABLES if "{" + t + "}" in text}
+            self._bound[text] = self.spark.sql(text, **used)
+        return self._bound[text]
 
     def snapshot(self, entity: str, second: bool, late_rows: bool = False) -> DataFrame:
         """State of an entity at the first or second load.
