@@ -27,8 +27,25 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "larder", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the defaults above; ``conf`` uses ``_`` for ``.`` in names."""
+def shuffle_partitions(input_bytes: int, per_task: int = 256 << 20, at_most: int = 50_000) -> int:
+    """Shuffle width so that a task handles about ``per_task`` bytes of a full shuffle of the input.
+
+    Runtime coalescing merges what turns out smaller, so this is an upper start
+    value; beyond ``at_most`` the number of map outputs costs more than spilling.
+    """
+    return max(200, min(at_most, -(-input_bytes // per_task)))
+
+
+def build_session(
+    app: str = "larder", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with the defaults above; ``conf`` uses ``_`` for ``.`` in names.
+
+    Give ``input_bytes``, the size of the largest table to be shuffled, on a
+    cluster: the stock width of 200 would make tasks of hundreds of gigabytes.
+    """
+    if input_bytes is not None:
+        conf.setdefault("spark_sql_shuffle_partitions", str(shuffle_partitions(input_bytes)))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

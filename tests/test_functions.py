@@ -125,3 +125,11 @@ def test_masks_follow_tags_and_cover_nulls(spark, tmp_path):
     assert masking.tagged_columns(masked) == {"email": "EMAIL", "dob": "PII"}
     with pytest.raises(ValueError):
         masking.tag_columns(df, {"id": "SECRET"})
+
+
+def test_shuffle_width_follows_the_input():
+    from larder.session import shuffle_partitions
+
+    assert shuffle_partitions(1) == 200
+    assert shuffle_partitions(256 << 30) == 1024
+    assert shuffle_partitions(100 << 40) == 50_000
