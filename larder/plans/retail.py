@@ -10,7 +10,6 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.functions.keys import hash_key
