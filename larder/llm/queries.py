@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.llm.bpe import bpe_round_trip
 from larder.llm.exact_dedup import exact_dedup
 from larder.llm.tables import documents
+from larder.llm.token_files import token_file_digests
+
+TOKENIZERS = os.environ.get("LARDER_TOKENIZERS", "/opt/tokenizers")
+END_ID = 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -38,3 +44,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM r
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir))
+
+
+@query("op4_token_files")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file_digests(documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json", END_ID)
+
+
+@query("op8_bpe")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json")

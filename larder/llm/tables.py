@@ -63,7 +63,7 @@ def width(spark: SparkSession) -> int:
 
 ARROW = {
     "bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "double": pa.float64(),
-    "boolean": pa.bool_(), "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()),
+    "boolean": pa.bool_(), "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()),
 }
 
 
