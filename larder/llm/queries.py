@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm.bpe import bpe_round_trip
 from larder.llm.exact_dedup import exact_dedup
+from larder.llm.quality import quality_scores
 from larder.llm.tables import documents
 from larder.llm.token_files import token_file_digests
 
@@ -54,3 +55,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(documents(spark, sf_dir), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+@query("op9_quality")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
