@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm.bpe import bpe_round_trip
 from larder.llm.exact_dedup import exact_dedup
+from larder.llm.fm_dedup import remove_earlier
 from larder.llm.quality import quality_scores
+from larder.llm.suffix_dedup import remove_repeats
 from larder.llm.tables import documents
 from larder.llm.token_files import token_file_digests
 
@@ -60,3 +62,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_quality")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(documents(spark, sf_dir))
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_earlier(documents(spark, sf_dir))
