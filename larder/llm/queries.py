@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from larder.llm.bpe import bpe_round_trip
 from larder.llm.exact_dedup import exact_dedup
 from larder.llm.fm_dedup import remove_earlier
+from larder.llm.ngram_join import similar_documents
 from larder.llm.quality import quality_scores
 from larder.llm.suffix_dedup import remove_repeats
 from larder.llm.tables import documents
@@ -72,3 +73,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_substring_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_earlier(documents(spark, sf_dir))
+
+
+@query("op5_ngram_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(documents(spark, sf_dir))

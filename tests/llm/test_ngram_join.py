@@ -1,0 +1,70 @@
+import random
+import re
+
+import pytest
+
+from larder.llm.links import components
+from larder.llm.ngram_join import keep_one_of_similar, similar_documents
+
+
+def brute(rows, n, percent):
+    sets = {}
+    for d, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[d] = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+    root = {d: d for d in sets}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return sorted((d, len(sets[d]), find(d)) for d in ids)
+
+
+def corpus(seed, n=160):
+    pick = random.Random(seed)
+    word = lambda: pick.choice("aeiou") + pick.choice("bcd") + pick.choice("aeiou")
+    rows, texts = [], []
+    for k in range(n):
+        if texts and pick.random() < 0.7:
+            w = list(pick.choice(texts[:12]))
+            for _ in range(pick.randint(0, 4)):
+                w[pick.randrange(len(w))] = word()
+        else:
+            w = [word() for _ in range(pick.choice([1, 2, 3, 5, 8, 40, 90, 150]))]
+        texts.append(w)
+        rows.append((k * 13 % 997, pick.choice([" ", "\n", "  "]).join(w)))
+    rows += [(2000, None), (2001, ""), (2002, " \t"), (2003, "One two"), (2004, "one  TWO"), (2005, "Çx é"), (2006, "çx é")]
+    return rows
+
+
+@pytest.mark.parametrize("seed,percent,bits", [(1, 85, 20), (2, 70, 4), (3, 85, 8)])
+def test_as_brute_force(spark, seed, percent, bits):
+    rows = corpus(seed)
+    docs = spark.createDataFrame([(d, t, 1, "x") for d, t in rows], "doc_id long, text string, n int, token string").repartition(6)
+    found = sorted(map(tuple, similar_documents(docs, percent=percent, cell_bits=18, sketch_bits=bits).collect()))
+    assert found == brute(rows, 4, percent)
+    kept = sorted(r.doc_id for r in keep_one_of_similar(docs, percent=percent, cell_bits=18, sketch_bits=bits).collect())
+    assert kept == sorted(d for d, _, c in found if d == c)
+
+
+def test_odd_rows(spark):
+    text = "a b c d e f g h"
+    docs = spark.createDataFrame([(None, text), (None, text), (3, text), (3, text), (4, text)], "doc_id long, text string")
+    found = [tuple(r) for r in similar_documents(docs, cell_bits=18).collect()]
+    assert sorted(found, key=str) == sorted([(None, 5, None)] * 2 + [(3, 5, 3)] * 2 + [(4, 5, 3)], key=str)
+    assert similar_documents(docs.limit(0), cell_bits=18).count() == 0
+
+
+def test_components_of_chains(spark):
+    edges = [(i, i + 1) for i in range(0, 200)] + [(500, 300), (400, 500), (7, 7)]
+    found = dict(map(tuple, components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    assert found == {i: 0 for i in range(201)} | {300: 300, 400: 300, 500: 300}
