@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from larder.llm.bpe import bpe_round_trip
 from larder.llm.exact_dedup import exact_dedup
 from larder.llm.fm_dedup import remove_earlier
+from larder.llm.fuzzy_lines import line_digests
 from larder.llm.ngram_join import similar_documents
+from larder.llm.pii import span_digests
 from larder.llm.quality import quality_scores
 from larder.llm.suffix_dedup import remove_repeats
 from larder.llm.tables import documents
@@ -78,3 +80,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_ngram_join")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_documents(documents(spark, sf_dir))
+
+
+@query("op6_pii")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(documents(spark, sf_dir))
+
+
+@query("op10_fuzzy_lines")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(documents(spark, sf_dir))
