@@ -225,3 +225,25 @@ def exact_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
             "text_sha256",
         )
     )
+
+
+def drop_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` without the rows that ``exact_dedup`` drops; all columns stay. Of rows that repeat in id and content one stays."""
+    found = exact_dedup(docs)
+    sums = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    sums = written(sums.where("NOT kept OR n > 1"), "exact-gone")
+    content = F.sha2(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]", "").cast("binary"), 256)
+
+    def among(which: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(which["doc_id"]) & (content == which["text_sha256"])
+
+    left = docs.join(sums, among(sums), "left_anti")
+    twins = sums.where("kept")  # some row of that id and content stays, but not all of them
+    if not twins.limit(1).count():
+        return left
+    rows = docs.join(twins, among(twins)).select(*[docs[c] for c in docs.columns], twins["doc_id"].alias("_id"), twins["text_sha256"].alias("_sha"))
+    # The longest text of them, as among all copies.
+    columns = [c for c in docs.columns]
+    packed = rows.select("_id", "_sha", F.struct(F.length("text").alias("_n"), F.struct(*[rows[c] for c in columns]).alias("_row")).alias("x"))
+    best = packed.groupBy("_id", "_sha").agg(F.max_by("x._row", "x._n").alias("row"))
+    return left.union(best.select(*[F.col("row").getField(c).alias(c) for c in columns]))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from larder.llm.bpe import bpe_round_trip
+from larder.llm.decontaminate import contaminations
 from larder.llm.exact_dedup import exact_dedup
 from larder.llm.fm_dedup import remove_earlier
 from larder.llm.fuzzy_lines import line_digests
@@ -90,3 +91,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_fuzzy_lines")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_digests(documents(spark, sf_dir))
+
+
+@query("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
