@@ -11,9 +11,9 @@ import heapq
 import json
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -169,13 +169,10 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in one array, and how many each has."""
-        index: dict[str | int, int] = {}
-        flat, sizes = [], []
-        for word in words:
-            found = self.pieces(word)
-            sizes.append(len(found))
-            for p in found:
-                flat.append(index.setdefault(p, len(index)))
+        index = Numbered()
+        found = [self.pieces(word) for word in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        flat = list(map(index.__getitem__, chain.from_iterable(found)))
         names = list(index)
         special = np.array([isinstance(p, int) for p in names], bool)
         ids, counts = self.merge([p for p in names if not isinstance(p, int)])
@@ -214,37 +211,45 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+class Numbered(dict):
+    """Numbers words in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = len(self)
+        return k
+
+
 class WordStore:
-    """Ids of words seen before; the frequent ones stay when it grows beyond ``KEPT_WORDS``."""
+    """Ids of words seen before; those that the last call had several times stay when it grows beyond ``KEPT_WORDS``."""
 
     def __init__(self, encode_words):
         self.encode_words = encode_words
-        self.index: dict[str, int] = {}
+        self.index = Numbered()
         self.ids = np.zeros(0, np.int32)
         self.counts = np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and how many each has."""
-        split = [words_of(t) for t in texts]
-        seen: Counter = Counter()
-        for w in split:
-            seen.update(w)
-        new = [w for w in seen if w not in self.index]
-        if new:
-            ids, counts = self.encode_words(new)
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+        number, old = self.index.__getitem__, len(self.index)
+        flat: list[int] = []
+        bounds = [0]
+        for t in texts:
+            flat.extend(map(number, words_of(t)))
+            bounds.append(len(flat))
+        which = np.array(flat, np.int64)
+        del flat
+        if len(self.index) > old:
+            ids, counts = self.encode_words(list(islice(self.index, old, None)))
             self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
-        of = self.index.__getitem__
-        n_words = np.array([len(w) for w in split], np.int64)
-        which = np.fromiter((k for w in split for k in map(of, w)), np.int64, n_words.sum())
         ids, n = gather(self.ids, self.counts, which)
         total = np.concatenate([[0], np.cumsum(n)])
-        bounds = np.concatenate([[0], np.cumsum(n_words)])
         if len(self.index) > KEPT_WORDS:
-            kept = [w for w, k in seen.most_common(KEPT_WORDS // 2) if k > 1]
-            self.ids, self.counts = gather(self.ids, self.counts, np.array([self.index[w] for w in kept], np.int64))
-            self.index = {w: k for k, w in enumerate(kept)}
-        return ids, np.diff(total[bounds])
+            often = np.bincount(which, minlength=len(self.index))
+            keep = often > max(1, np.partition(often, -KEPT_WORDS // 2)[-KEPT_WORDS // 2])
+            self.ids, self.counts = gather(self.ids, self.counts, np.flatnonzero(keep))
+            kept = compress(self.index, keep.tolist())
+            self.index = Numbered(zip(kept, range(len(self.counts))))
+        return ids, np.diff(total[np.array(bounds)])
 
 
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:

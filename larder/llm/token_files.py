@@ -15,6 +15,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from larder.session import run_dir
 
 MAGIC = b"S8BTOK01"
 BLOCK = 4096
-SHARD_IDS = 8_000_000
+SHARD_IDS = 4_000_000
 # Fixed values of the coding: ids in a word and bits of each, for the selectors from 1 on.
 SELECTORS = [
     (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60),
@@ -43,20 +44,19 @@ def pack(values: np.ndarray, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
     left = np.minimum(block - np.arange(n) % block, n - np.arange(n))
+    need = np.searchsorted(np.array([1 << b for b in range(64)], np.uint64), values, "right").astype(np.uint8)  # bits of each
     choice = np.zeros(n, np.int8)  # the first selector, thus the one with most ids, that fits
     for k, (count, bits) in reversed(list(enumerate(SELECTORS, 1))):
-        small = values < np.uint64(1 << bits)
+        # Whether the next ``count`` values are small, by doubling the stretch that is.
+        fits = need <= bits
         if count > 1:
-            if not small.any():
-                continue
-            wide = np.concatenate([[0], np.cumsum(~small)])
-            fits = np.zeros(n, bool)
-            m = n - count + 1
-            if m > 0:
-                fits[:m] = wide[count:] == wide[:m]
+            reach = 1
+            while reach < count and fits.any():
+                step = min(reach, count - reach)
+                fits[:-step] &= fits[step:]
+                fits[-step:] = False
+                reach += step
             fits &= left >= count
-        else:
-            fits = small
         choice[fits] = k
     steps = np.array([1] + [c for c, _ in SELECTORS], np.int64)[choice].tolist()
     heads, at = [], 0
@@ -145,8 +145,9 @@ class TokenFile:
         return found[a - low * BLOCK : b - low * BLOCK]
 
 
-# Words of Latin letters with at most one comma or full stop behind: for these, lower case and splitting are plain, and
-# the library's model can be asked directly. All other words go through the whole library.
+# Printable ASCII without apostrophes, and Latin letters with at most one comma or full stop behind: for these words lower
+# case and splitting are plain, and the library's model can be asked directly. All others go through the whole library.
+ASCII_PIECES = re.compile("[a-z]+|[0-9]|[^a-z0-9]+").findall
 LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,]?)")
 
 
@@ -161,24 +162,33 @@ def library_words(path: str):
     cores: dict[str, list[int]] = {}
 
     def core_ids(core: str) -> list[int]:
-        if (found := cores.get(core)) is None:
-            found = cores[core] = [t.id for t in tokenize(core.encode().decode("latin-1").translate(letters))]
+        shown = core if core.isascii() else core.encode().decode("latin-1").translate(letters)
+        found = cores[core] = [t.id for t in tokenize(shown)]
         return found
 
     def encode_words(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(cores) > CACHED_CORES:
             cores.clear()
         found: list = [None] * len(words)
-        rest = []
+        rest, known, latin = [], cores.get, LATIN.fullmatch
         for k, word in enumerate(words):
-            if m := LATIN.fullmatch(word):
-                found[k] = core_ids(m[1].lower()) + core_ids(m[2]) if m[2] else core_ids(m[1].lower())
+            if word.isascii() and word.isprintable() and "'" not in word and "<|" not in word:
+                if word.isalpha():
+                    found[k] = known(low := word.lower()) or core_ids(low)
+                else:
+                    found[k] = [i for p in ASCII_PIECES(word.lower()) for i in known(p) or core_ids(p)]
+                continue
+            if m := latin(word):
+                core, stop = m[1].lower(), m[2]
             else:
                 rest.append(k)
+                continue
+            ids = known(core) or core_ids(core)
+            found[k] = ids + (known(stop) or core_ids(stop)) if stop else ids
         for k, e in zip(rest, tokenizer.encode_batch([words[k] for k in rest], add_special_tokens=False)):
             found[k] = e.ids
-        counts = np.array([len(x) for x in found], np.int64)
-        return np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())), counts
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.array(list(chain.from_iterable(found)), np.int32), counts
 
     return encode_words
 
@@ -229,7 +239,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> np.ndarray:
-    out = np.full(len(ids) + len(counts), end_id, np.int64)
+    out = np.full(len(ids) + len(counts), end_id, np.int32)
     keep = np.ones(len(out), bool)
     keep[np.cumsum(counts + 1) - 1] = False
     out[keep] = ids
