@@ -30,11 +30,10 @@ def merge_upsert(
     one row per key (see ``latest_per_key``). Column names, types and tags are
     those of ``target``.
 
-    By default both sides meet in one full outer join, one shuffle each. For a
-    source known to be small, ``small_source`` reads the target twice instead
-    (the second time keys only) in joins whose right side is never larger than
-    the source, so Spark can measure and broadcast it and the target is not
-    shuffled at all.
+    By default both sides meet in one full outer join, one shuffle each. A caller
+    that has checked the size of the source (some megabytes) can say
+    ``small_source``: the target is then read twice (the second time keys only)
+    and meets a broadcast of the source, so that it is not shuffled at all.
     """
     keys = list(keys)
     shared = [c for c in target.columns if c in source.columns and c not in keys]
@@ -65,9 +64,10 @@ def merge_upsert(
         return joined.selectExpr(*[quoted(c) if c in keys else next_value(c) for c in target.columns])
 
     if small_source:
-        updated = finish(kept.join(incoming, keys, "left"))
-        found = target.select(*keys).join(incoming.select(*keys), keys, "left_semi")
-        fresh = incoming.join(found, keys, "left_anti").withColumn("_t", F.lit(None).cast(kept.schema["_t"].dataType))
+        updated = finish(kept.join(F.broadcast(incoming), keys, "left"))
+        # Never more keys than the source has.
+        found = target.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
+        fresh = incoming.join(F.broadcast(found), keys, "left_anti").withColumn("_t", F.lit(None).cast(kept.schema["_t"].dataType))
         merged = updated.unionByName(finish(fresh))
     else:
         merged = finish(kept.join(incoming, keys, "full_outer"))

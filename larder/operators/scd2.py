@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -83,8 +83,6 @@ def apply_scd2(
         return _apply_literal(table, changes, dim, ts)
     if mode != "corrected":
         raise ValueError(f"unknown mode: {mode}")
-    if mode != "corrected":
-        raise ValueError(f"unknown mode: {mode}")
     return apply_rows(table, changes.where(F.col(ACTION) == INSERT), dim, ts)
 
 
@@ -155,7 +153,8 @@ def scd2_history(
     over as many tasks as it has pieces. The last state of earlier pieces and
     the first change of later pieces come from summaries with one row per key
     and piece. Windows and summaries all read one shuffle of the log. Entries
-    without a key or a time have no place on any timeline.
+    without a key or a time have no place on any timeline; ``without_place``
+    returns them, so that none is lost unseen.
     """
     keys = list(keys)
     piece = [*keys, "_piece"]
@@ -194,6 +193,11 @@ def scd2_history(
     )
 
 
+def without_place(log: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
+    """Entries of a log that ``scd2_history`` has to leave out: no key or no time."""
+    return log.where(reduce(or_, [F.col(c).isNull() for c in (*keys, ts)]))
+
+
 def _keep_metadata(df: DataFrame, like: DataFrame) -> DataFrame:
     for f in like.schema.fields:
         if f.metadata:

@@ -35,6 +35,8 @@ def top_stores(by_restaurant: DataFrame, year: int, month: int, limit: int = TOP
     The mart has one row per delivery status, so a store may appear more than
     once. Name and status break ties.
     """
+    if not TOP_N_MIN <= limit <= TOP_N_MAX:
+        raise ValueError(f"limit must be from {TOP_N_MIN} to {TOP_N_MAX}")
     return (
         by_restaurant.where((F.col("year") == year) & (F.col("month") == month))
         .orderBy(F.desc("total_revenue"), "restaurant_name", "delivery_status")

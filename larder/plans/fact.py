@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -96,24 +96,34 @@ def order_item_fact(
     headers: DataFrame,
     lookups: tuple[Lookup, ...] = (),
     current_only: bool = False,
+    columns: Sequence[str] = FACT_COLUMNS,
 ) -> DataFrame:
-    """One row per order line: its header's keys plus the lookups of the line itself."""
+    """One row per order line: its header's keys plus the lookups of the line itself.
+
+    A report that needs fewer ``columns`` names them; one that nothing provides is an error.
+    """
     head = headers.drop(*[c for c in headers.columns if c in items.columns and c != "order_id"])
     rows = items.join(head, F.col("order_id_fk") == F.col("order_id"), "left").drop("order_id")
     for item in lookups:
         rows = _attach(rows, item, current_only)
     rows = rows.withColumnRenamed("order_id_fk", "order_id").withColumn("quantity", whole_units(F.col("quantity")).cast("bigint"))
-    return rows.select(*[c for c in FACT_COLUMNS if c in rows.columns])
-
+    missing = [c for c in columns if c not in rows.columns]
+    if missing:
+        raise ValueError(f"no lookup or column gives {', '.join(missing)}")
+    return rows.select(*columns)
 
-def merge_fact(target: DataFrame, rows: DataFrame, small_source: bool = False) -> DataFrame:
-    """Upsert assembled rows on (order_item_id, order_id); the surrogate key of a known row stays."""
-    return merge_upsert(target, rows, FACT_KEYS, small_source=small_source)
 
+def merge_fact(target: DataFrame, rows: DataFrame, start_after: int | None = None) -> DataFrame:
+    """Upsert assembled rows on (order_item_id, order_id); the surrogate key of a known row stays.
 
-def number_fact(rows: DataFrame, start_after: int = 0) -> DataFrame:
-    """Add ``order_item_fact_sk`` to new fact rows."""
-    return surrogate_key(rows, FACT_KEYS, "order_item_fact_sk", start_after)
+    With ``start_after``, the highest number given so far, new rows are numbered from there on.
+    """
+    if start_after is None:
+        return merge_upsert(target, rows, FACT_KEYS)
+    fresh = rows.select(*FACT_KEYS).join(target.select(*FACT_KEYS), list(FACT_KEYS), "left_anti")
+    numbered = rows.join(surrogate_key(fresh, FACT_KEYS, "order_item_fact_sk", start_after), list(FACT_KEYS), "left")
+    body = [c for c in rows.columns if c not in FACT_KEYS]
+    return merge_upsert(target, numbered, FACT_KEYS, update_cols=body, insert_cols=[*body, "order_item_fact_sk"])
 
 
 def fact_orphans(fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -122,7 +132,5 @@ def fact_orphans(fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]])
 
 
 def changed_lines_with_orders(item_changes: DataFrame, order_changes: DataFrame) -> DataFrame:
-    """Changed lines whose order changed in the same batch."""
-    return match_audit(item_changes, order_changes, [("order_id_fk", "order_id")]).select(
-        "order_id_fk", "order_id"
-    )
+    """Orders with changed lines that changed in the same batch themselves, with the number of matching rows."""
+    return match_audit(item_changes, order_changes, [("order_id_fk", "order_id")])

@@ -13,16 +13,19 @@ from pyspark.sql import DataFrame, SparkSession
 
 from larder import schemas
 from larder.functions.keys import hash_key
-from larder.operators.scd2 import Dimension, apply_rows, open_versions
+from larder.operators.change_set import change_set
+from larder.operators.scd2 import Dimension, apply_rows, apply_scd2, open_versions
 from larder.plans import fact as fact_plan
 from larder.plans.date_dim import date_dim
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
-# The two load times of the dimensions and the last calendar day.
-FIRST_LOAD = datetime(1990, 1, 1)
+# The two load times of the dimensions, some orders are older than both, and the last calendar day.
+FIRST_LOAD = datetime(1996, 1, 1)
 SECOND_LOAD = datetime(1998, 1, 1)
+THIRD_LOAD = datetime(2000, 1, 1)
 AS_OF = date(2001, 12, 31)
+REVENUE_COLUMNS = ("order_item_id", "order_id", "order_date_dim_key", "quantity", "price", "subtotal", "delivery_status")
 
 # Per entity: the SELECT, the condition of rows that change with the second
 # load ({changed} stands for it in the SELECT) and of rows that only arrive then.
@@ -147,8 +150,26 @@ class Retail:
         first = self.snapshot(entity, second=False, late_rows=late_rows)
         second = self.snapshot(entity, second=True)
         table = open_versions(first, dim, FIRST_LOAD)
+        if late_rows:
+            return apply_scd2(table, change_set(first, second, dim.keys, compare=dim.attrs), dim, SECOND_LOAD)
         return apply_rows(table, second, dim, SECOND_LOAD)
 
+    def as_written(self, entity: str) -> DataFrame:
+        """The dimension after both loads by the literal rules."""
+        dim = self.role(entity)
+        first, second = self.snapshot(entity, second=False, late_rows=True), self.snapshot(entity, second=True)
+        changes = change_set(first, second, dim.keys, compare=dim.attrs)
+        return apply_scd2(open_versions(first, dim, FIRST_LOAD), changes, dim, SECOND_LOAD, mode="as_written")
+
+    def reverted(self, entity: str) -> DataFrame:
+        """The dimension after a third load that brings the first state back."""
+        dim = self.role(entity)
+        first, second = self.snapshot(entity, second=False), self.snapshot(entity, second=True)
+        table = open_versions(first, dim, FIRST_LOAD)
+        for old, new, at in ((first, second, SECOND_LOAD), (second, first, THIRD_LOAD)):
+            table = apply_scd2(table, change_set(old, new, dim.keys, compare=dim.attrs), dim, at)
+        return table
+
     @staticmethod
     def role(entity: str) -> Dimension:
         return schemas.ENTITIES[entity].dimension
@@ -196,4 +217,5 @@ class Retail:
         deliveries = self.deliveries().select("order_id_fk", "delivery_id", "delivery_status")
         headers = fact_plan.order_headers(self.orders(), deliveries, self.dates())
         lookups = (self.lookup("restaurant", "restaurant_id_fk", "restaurant_dim_key"),) if restaurants else ()
-        return fact_plan.order_item_fact(self.items(), headers, lookups)
+        columns = [c for c in fact_plan.FACT_COLUMNS if c in REVENUE_COLUMNS or restaurants and c == "restaurant_dim_key"]
+        return fact_plan.order_item_fact(self.items(), headers, lookups, columns=columns)

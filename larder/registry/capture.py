@@ -11,6 +11,7 @@ from larder.operators.merge import insert_select, merge_upsert
 from larder.operators.scd2 import current_rows
 from larder.operators.surrogate import surrogate_key
 from larder.plans import fact as fact_plan
+from larder.plans.fact import changed_lines_with_orders
 from larder.plans.retail import Retail
 from larder.registry import sqltext as S
 from larder.registry.base import query
@@ -64,21 +65,21 @@ def cdc_change_set(r: Retail) -> DataFrame:
                         CASE WHEN o.o_orderkey IS NULL OR n.o_orderkey IS NULL THEN 1 ELSE 2 END AS times
                       FROM o FULL JOIN n ON o.o_orderkey = n.o_orderkey
                       WHERE o.o_orderkey IS NULL OR n.o_orderkey IS NULL OR NOT ({SAME})),
-          lines AS (SELECT l_orderkey FROM {{lineitem}} WHERE l_shipdate >= TIMESTAMP '2000-01-01')
-        SELECT l_orderkey AS order_id_fk, order_id, CAST(sum(times) AS BIGINT) AS matches
-        FROM lines JOIN changed ON l_orderkey = order_id GROUP BY ALL""",
+          lines AS (SELECT l_orderkey, CAST(sum(CASE l_linenumber WHEN 1 THEN 2 ELSE 1 END) AS BIGINT) AS times
+                    FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM {{lineitem}}) WHERE l_linenumber <= 3 GROUP BY l_orderkey)
+        SELECT l_orderkey AS order_id_fk, order_id, lines.times * changed.times AS matches
+        FROM lines JOIN changed ON l_orderkey = order_id""",
 )
 def stream_join_check(r: Retail) -> DataFrame:
-    """Lines that shipped late against changed orders, matches counted per order."""
+    """Changed lines against changed orders: first lines were updated, second ones deleted, third ones added."""
     old, new = old_new(r)
-    changes = change_set(old, new, KEY).select(F.col("o_orderkey").alias("order_id"))
-    lines = r.table("lineitem").where(F.col("l_shipdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
-    # Both change sets are reduced to one counted row per order before they
-    # meet, so a hot order is not joined row by row.
-    items = lines.groupBy(F.col("l_orderkey").alias("order_id_fk")).agg(F.count(F.lit(1)).alias("_lines"))
-    orders = changes.groupBy("order_id").agg(F.count(F.lit(1)).alias("_times"))
-    joined = items.join(orders, F.col("order_id_fk") == F.col("order_id"))
-    return joined.select("order_id_fk", "order_id", (F.col("_lines") * F.col("_times")).alias("matches"))
+    orders = change_set(old, new, KEY).select(F.col("o_orderkey").alias("order_id"))
+    # A few line numbers occur twice in an order; a change set needs one row for each key.
+    lines = r.table("lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.sum("l_quantity").alias("l_quantity"))
+    later = F.when(F.col("l_linenumber") == 1, F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    before, after = lines.where("l_linenumber <> 3"), lines.where("l_linenumber <> 2").withColumn("l_quantity", later)
+    items = change_set(before, after, ["l_orderkey", "l_linenumber"]).withColumnRenamed("l_orderkey", "order_id_fk")
+    return changed_lines_with_orders(items, orders).withColumnRenamed("n", "matches")
 
 
 # Upserts --------------------------------------------------------------------
@@ -180,14 +181,18 @@ def insert_select_query(r: Retail) -> DataFrame:
              n AS (SELECT i.order_item_id, i.order_id_fk AS order_id, i.subtotal + 1.00 AS subtotal, v.delivery_status
                    FROM {S.ITEMS} i JOIN {S.DELIVERIES} v ON i.order_id_fk = v.order_id_fk WHERE v.delivery_status = 'Delivered'),
              numbered AS (SELECT *, row_number() OVER (
-                   ORDER BY substr(sha1({S.key_text('order_item_id', 'order_id')}), 1, 4), order_item_id, order_id) AS sk FROM o)
-        SELECT o.sk AS order_item_fact_sk, coalesce(o.order_item_id, n.order_item_id) AS order_item_id,
+                   ORDER BY substr(sha1({S.key_text('order_item_id', 'order_id')}), 1, 4), order_item_id, order_id) AS sk FROM o),
+             fresh AS (SELECT order_item_id, order_id, (SELECT count(*) FROM o) + row_number() OVER (
+                   ORDER BY substr(sha1({S.key_text('order_item_id', 'order_id')}), 1, 4), order_item_id, order_id) AS sk
+                   FROM n ANTI JOIN o USING (order_item_id, order_id))
+        SELECT coalesce(o.sk, f.sk) AS order_item_fact_sk, coalesce(o.order_item_id, n.order_item_id) AS order_item_id,
           coalesce(o.order_id, n.order_id) AS order_id, CAST(coalesce(n.subtotal, o.subtotal) AS DOUBLE) AS subtotal,
           coalesce(n.delivery_status, o.delivery_status) AS delivery_status
-        FROM numbered o FULL JOIN n ON o.order_item_id = n.order_item_id AND o.order_id = n.order_id""",
+        FROM numbered o FULL JOIN n ON o.order_item_id = n.order_item_id AND o.order_id = n.order_id
+          LEFT JOIN fresh f ON f.order_item_id = n.order_item_id AND f.order_id = n.order_id""",
 )
 def fact_merge(r: Retail) -> DataFrame:
-    """Known fact rows keep their number, delivered ones are updated, new ones come in unnumbered."""
+    """Known fact rows keep their number, delivered ones are updated, new ones are numbered after them."""
     items, orders, deliveries = r.items(), r.orders(), r.deliveries()
     cols = ["order_item_id", F.col("order_id_fk").alias("order_id"), "subtotal"]
     before = orders.where(F.col("order_date") < F.lit("2000-01-01").cast("timestamp_ntz")).select(F.col("order_id").alias("order_id_fk"))
@@ -196,16 +201,16 @@ def fact_merge(r: Retail) -> DataFrame:
     changed = items.withColumn("subtotal", (F.col("subtotal") + F.lit("1.00").cast("decimal(18,2)")).cast("decimal(18,2)"))
     rows = changed.join(done, "order_id_fk").select(*cols, "delivery_status")
     table = surrogate_key(known, fact_plan.FACT_KEYS, "order_item_fact_sk")
-    return fact_plan.merge_fact(table, rows)
+    return fact_plan.merge_fact(table, rows, start_after=table.agg(F.max("order_item_fact_sk")).first()[0] or 0)
 
 
 # Dimensions -----------------------------------------------------------------
 
 
-def _dim_sql(entity: str) -> str:
+def _dim_sql(entity: str, text: str | None = None) -> str:
     money = {"restaurant": ["pricing_for_two", "latitude", "longitude"], "menu": ["price"], "delivery_agent": ["rating"]}
     swap = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in money.get(entity, []))
-    return f"SELECT * {f'REPLACE ({swap})' if swap else ''} FROM {S.dimension(entity, late_rows=True)}"
+    return f"SELECT * {f'REPLACE ({swap})' if swap else ''} FROM {text or S.dimension(entity, late_rows=True)}"
 
 
 def _dim(entity: str):
@@ -225,3 +230,6 @@ for _name, _entity in {
 query("scd2_current", f"{_dim_sql('customer')} WHERE is_current")(
     lambda r: current_rows(r.dimension("customer", late_rows=True), r.role("customer"))
 )
+
+query("scd2_as_written", _dim_sql("location", S.as_written("location")))(lambda r: r.as_written("location"))
+query("scd2_revert", _dim_sql("restaurant", S.reverted("restaurant")))(lambda r: r.reverted("restaurant"))

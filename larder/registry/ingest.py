@@ -22,8 +22,9 @@ from larder.session import run_dir
 from larder.sources.csv_stage import (
     FILE_KEY, FILE_NAME, FILE_TS, LOADED_AT, content_keys, export_csv, load_abort_on_error, read_stage_csv, with_audit, with_file,
 )
-from larder.sources.manifest import copy_history, incremental_load, read_manifest
-from larder.streaming.loader import consume, new_rows
+from larder.sources.manifest import copy_history, incremental_load, read_manifest, read_stage
+from larder.schemas import CUSTOMER
+from larder.streaming.loader import EntityLoader, consume, new_rows
 
 ORDER_COLUMNS = ["orderid", "customerid", "status", "totalamount", "orderdate"]
 ORDER_TEXT = """SELECT CAST(o_orderkey AS STRING) AS orderid, CAST(o_custkey AS STRING) AS customerid, o_orderstatus AS status,
@@ -150,7 +151,8 @@ def _three_loads(r: Retail) -> str:
 def incremental(r: Retail) -> DataFrame:
     """Rows per load: only new files each time, nothing on a plain repeat, everything by force."""
     path = _three_loads(r)
-    return r.spark.read.parquet(f"{path}/stage").groupBy(F.col(LOADED_AT).alias("load_ts")).agg(F.count(F.lit(1)).alias("n_rows"))
+    stage = read_stage(r.spark, f"{path}/stage", f"{path}/manifest", "orders")
+    return stage.groupBy(F.col(LOADED_AT).alias("load_ts")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query(
@@ -252,3 +254,39 @@ def stream_consume_once(r: Retail) -> DataFrame:
     peeked = read_stage_csv(r.spark, f"{path}/in", ORDER_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
     runs = got.groupBy(F.concat(F.lit("run "), F.col("run")).alias("reader")).agg(F.count(F.lit(1)).alias("n_rows"))
     return peeked.select(F.lit("peeked").alias("reader"), "n_rows").unionByName(runs)
+
+
+def _customers(r: Retail) -> EntityLoader:
+    """Customers in three deliveries: most of them, then the rest with some changes, then all as they are."""
+    path = run_dir(r.spark, "customers")
+    loader = EntityLoader(r.spark, CUSTOMER, f"{path}/tables")
+    text = """SELECT CAST(c_custkey AS STRING) AS customerid, c_name || CASE WHEN {changed} THEN ' *' ELSE '' END AS name,
+        '900' AS mobile, 'a@b.example' AS email, 'app' AS loginbyusing, 'F' AS gender, '1990-01-01' AS dob,
+        CAST(NULL AS STRING) AS anniversary, c_mktsegment AS preferences, '2024-01-01 00:00:00' AS createddate,
+        '2024-01-0{day} 00:00:00' AS modifieddate FROM {customer} WHERE {rows}"""
+    deliveries = (
+        ("false", "c_mktsegment <> 'BUILDING'"),
+        ("c_acctbal < 0", "c_mktsegment = 'BUILDING' OR c_acctbal < 0"),
+        ("c_acctbal < 0", "true"),
+    )
+    for day, (changed, rows) in enumerate(deliveries, 1):
+        wanted = text.replace("{changed}", changed).replace("{rows}", rows).replace("{day}", str(day))
+        write_stage(r.sql(wanted), f"{path}/in")
+        loader.run(f"{path}/in")
+    return loader
+
+
+@query(
+    "entity_loader",
+    """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name || CASE WHEN c_acctbal < 0 THEN ' *' ELSE '' END AS name,
+         c_mktsegment AS preferences, CAST(CASE WHEN c_acctbal < 0 AND c_mktsegment <> 'BUILDING' THEN 2 ELSE 1 END AS BIGINT) AS versions,
+         true AS numbered FROM {customer}""",
+)
+def entity_loader(r: Retail) -> DataFrame:
+    """Clean customers and their dimension versions after three batches; each has one number of its own."""
+    loader = _customers(r)
+    clean, n = loader.clean(), F.count(F.lit(1))
+    versions = loader.dimension().groupBy("customer_id").agg(n.alias("versions"))
+    unique = clean.groupBy("customer_sk").agg(n.alias("_n"))
+    rows = clean.join(versions, "customer_id").join(unique, "customer_sk")
+    return rows.select("customer_id", "name", "preferences", "versions", (F.col("_n") == 1).alias("numbered"))

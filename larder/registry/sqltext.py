@@ -7,6 +7,7 @@ from larder.plans.retail import FIRST_LOAD, SECOND_LOAD, Retail
 
 T0 = f"TIMESTAMP '{FIRST_LOAD}'"
 T1 = f"TIMESTAMP '{SECOND_LOAD}'"
+T2 = f"TIMESTAMP '{retail.THIRD_LOAD}'"
 LAST_DAY = f"DATE '{retail.AS_OF}'"
 
 
@@ -50,6 +51,40 @@ def dimension(entity: str, late_rows: bool = False) -> str:
       FROM n LEFT JOIN o ON {on} WHERE o.{k} IS NULL OR NOT ({same}))"""
 
 
+def as_written(entity: str) -> str:
+    """Literal rules: a changed row closes what matches, and comes in only if nothing matches."""
+    d = Retail.role(entity)
+    cols = [*d.keys, *d.attrs]
+    same = " AND ".join(f"o.{a} IS NOT DISTINCT FROM n.{a}" for a in d.attrs)
+    k = d.keys[0]
+    match = " AND ".join(f"o.{c} = n.{c}" for c in d.match_on)
+    return f"""(WITH o AS ({snapshot(entity, False, True)}), n AS ({snapshot(entity, True)}),
+      c AS (SELECT o.*, n.{k} IS NOT NULL AND NOT ({same}) AS changed FROM o LEFT JOIN n ON o.{k} = n.{k})
+      SELECT {hash_key(*cols, T0)} AS {d.hash_key}, {', '.join(cols)}, {T0} AS {d.start},
+             CASE WHEN changed THEN {T1} END AS {d.end}, NOT changed AS {d.current} FROM c
+      UNION ALL
+      SELECT {hash_key(*cols, T1)}, {', '.join(cols)}, {T1}, CAST(NULL AS TIMESTAMP), true
+      FROM n WHERE NOT EXISTS (SELECT 1 FROM o WHERE {match}))"""
+
+
+def reverted(entity: str) -> str:
+    """First state, second state, first state again."""
+    d = Retail.role(entity)
+    cols = [*d.keys, *d.attrs]
+    same = " AND ".join(f"o.{a} IS NOT DISTINCT FROM n.{a}" for a in d.attrs)
+    k = d.keys[0]
+    listed = ", ".join(cols)
+
+    def part(rows: str, start: str, end: str) -> str:
+        return f"""SELECT {hash_key(*cols, start)} AS {d.hash_key}, {listed}, {start} AS {d.start}, {end} AS {d.end},
+          {end} IS NULL AS {d.current} FROM {rows} WHERE {k} IN (SELECT {k} FROM changed)"""
+
+    return f"""(WITH o AS ({snapshot(entity, False)}), n AS ({snapshot(entity, True)}),
+      changed AS (SELECT o.{k} FROM o JOIN n ON o.{k} = n.{k} WHERE NOT ({same}))
+      {part('o', T0, T1)} UNION ALL {part('n', T1, T2)} UNION ALL {part('o', T2, 'CAST(NULL AS TIMESTAMP)')} UNION ALL
+      SELECT {hash_key(*cols, T0)}, {listed}, {T0}, CAST(NULL AS TIMESTAMP), true FROM o WHERE {k} NOT IN (SELECT {k} FROM changed))"""
+
+
 ORDERS = f"({retail.ORDERS})"
 DELIVERIES = f"({retail.DELIVERIES})"
 ITEMS = f"(SELECT {hash_key(*retail.ITEM_KEY)} AS order_item_id, * FROM ({retail.ITEMS}))"
@@ -69,7 +104,8 @@ DATES = f"""(SELECT {date_key('calendar_date')} AS date_dim_hk, calendar_date, {
 
 
 def valid(alias: str, start: str, end: str) -> str:
-    return f"{alias}.{start} <= o.order_date AND ({alias}.{end} IS NULL OR o.order_date < {alias}.{end})"
+    """Versions of the first load are the first of their keys: they also hold for older orders."""
+    return f"({alias}.{start} = {T0} OR {alias}.{start} <= o.order_date) AND ({alias}.{end} IS NULL OR o.order_date < {alias}.{end})"
 
 
 FACT = f"""(SELECT i.order_item_id, i.order_id_fk AS order_id, c.customer_hk AS customer_dim_key,

@@ -88,21 +88,36 @@ def user_history(r: Retail) -> DataFrame:
 query("scd2_history", HISTORY_SQL)(user_history)
 
 
-@query(
-    "dim_lookup_asof",
-    f"""SELECT e.event_id, e.user_id, e.probe_at, h.hk AS user_hk
+def _asof_sql(history: str) -> str:
+    """A version that ends where it starts was never valid; the first one also covers the time before it."""
+    return f"""WITH h AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY eff_start_date, hk) AS no
+          FROM (SELECT *, {S.hash_key('user_id', 'event_type', 'eff_start_date')} AS hk FROM ({history}))
+          WHERE eff_end_date IS NULL OR eff_start_date < eff_end_date)
+        SELECT e.event_id, e.user_id, e.probe_at, h.hk AS user_hk
         FROM (SELECT event_id, user_id, ts - INTERVAL 6 HOUR AS probe_at FROM {{events}}) e
-        LEFT JOIN (SELECT *, {S.hash_key('user_id', 'event_type', 'eff_start_date')} AS hk FROM ({HISTORY_SQL})) h
-          ON h.user_id = e.user_id AND h.eff_start_date <= e.probe_at
-             AND (h.eff_end_date IS NULL OR e.probe_at < h.eff_end_date)""",
-)
-def dim_lookup_asof(r: Retail) -> DataFrame:
-    """The user state that was valid six hours before each event."""
-    dim = user_history(r).withColumn("user_hk", hash_key("user_id", "event_type", "eff_start_date"))
+        LEFT JOIN h ON h.user_id = e.user_id AND (h.no = 1 OR h.eff_start_date <= e.probe_at)
+             AND (h.eff_end_date IS NULL OR e.probe_at < h.eff_end_date)"""
+
+
+def _asof(r: Retail, history: DataFrame) -> DataFrame:
+    dim = history.withColumn("user_hk", hash_key("user_id", "event_type", "eff_start_date"))
     probes = r.table("events").select("event_id", "user_id", (F.col("ts") - F.expr("INTERVAL '6' HOUR")).alias("probe_at"))
     return lookup_along_history(probes, dim, USER_DIM, "probe_at", "user_hk", "user_hk")
 
 
+@query("dim_lookup_asof", _asof_sql(HISTORY_SQL))
+def dim_lookup_asof(r: Retail) -> DataFrame:
+    """The user state that was valid six hours before each event."""
+    return _asof(r, user_history(r))
+
+
+@query("dim_lookup_asof_ties", _asof_sql(HISTORY_SQL.replace("{events}", "(SELECT * REPLACE (date_trunc('day', ts) AS ts) FROM {events})")))
+def dim_lookup_asof_ties(r: Retail) -> DataFrame:
+    """The same from a log that knows the day only, so that many changes of a user have one time."""
+    log = r.table("events").withColumn("ts", F.date_trunc("day", "ts").cast("timestamp_ntz"))
+    return _asof(r, scd2_history(log, ["user_id"], ["event_type"], "ts", "event_id"))
+
+
 # Keys and integrity ---------------------------------------------------------
 
 

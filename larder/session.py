@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -65,7 +66,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     return _local_dir()
 
@@ -76,5 +77,8 @@ def _local_dir() -> str:
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses; it goes when the session ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path

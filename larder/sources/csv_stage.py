@@ -105,20 +105,16 @@ def content_keys(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.groupBy(FILE_PATH).agg(F.md5(digest).alias(FILE_KEY))
 
 
-FEW_FILES = 100_000  # a file list up to this length is some tens of megabytes
-
-
-def with_audit(rows: DataFrame, loaded_at: datetime | Column, keys: DataFrame, few_files: bool = False) -> DataFrame:
+def with_audit(rows: DataFrame, loaded_at: datetime | Column, keys: DataFrame) -> DataFrame:
     """Complete ``with_file`` rows with content key and load time.
 
-    Only files listed in ``keys`` stay. Say ``few_files`` when the list is known
-    to have at most ``FEW_FILES`` entries: it is then broadcast and the rows are
-    not shuffled by file, which one large file would skew.
+    Only files listed in ``keys`` stay. Spark measures the list: a short one is
+    broadcast, and with a long one the rows of a large file are split.
     """
     listed = keys.select(FILE_PATH, FILE_KEY)
     data = [c for c in rows.columns if c not in (FILE_PATH, *AUDIT_COLUMNS)]
     return (
-        rows.join(F.broadcast(listed) if few_files else listed, FILE_PATH)
+        rows.join(listed, FILE_PATH)
         .withColumn(LOADED_AT, moment(loaded_at))
         .select(*data, FILE_PATH, *AUDIT_COLUMNS)
     )

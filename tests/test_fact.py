@@ -8,7 +8,7 @@ from larder import schemas
 from larder.operators.scd2 import Dimension, open_versions
 from larder.plans import dashboard, marts
 from larder.plans.date_dim import date_dim
-from larder.plans.fact import Lookup, order_headers, order_item_fact
+from larder.plans.fact import FACT_COLUMNS, Lookup, order_headers, order_item_fact
 from larder.streaming.loader import FactLoader, lines_of_orders
 
 D = dt.datetime
@@ -67,10 +67,23 @@ def build(w, items=None, current_only=False):
         current_only,
     )
     return order_item_fact(
-        w["items"] if items is None else items, headers, (Lookup(w["menu"], MENU, "menu_id_fk", "menu_dim_key"),), current_only
+        w["items"] if items is None else items, headers, (Lookup(w["menu"], MENU, "menu_id_fk", "menu_dim_key"),), current_only,
+        columns=[c for c in FACT_COLUMNS if c not in ("restaurant_dim_key", "restaurant_location_dim_key", "delivery_agent_dim_key")],
     )
 
 
+def test_a_forgotten_lookup_is_an_error(world):
+    headers = order_headers(world["orders"], world["deliveries"], world["dates"])
+    with pytest.raises(ValueError, match="customer_dim_key"):
+        order_item_fact(world["items"], headers)
+
+
+def test_orders_older_than_the_first_load_find_its_version(spark, world):
+    world["addresses"] = world["addresses"].withColumn("eff_start_date", F.lit(D(2024, 6, 1)).cast("timestamp_ntz"))
+    fact = build(world)
+    assert fact.where("order_id IN (1, 2, 3) AND customer_address_dim_key IS NULL").count() == 0
+
+
 def test_one_row_per_line_whatever_the_dimensions_hold(spark, world):
     fact = build(world)
     assert fact.count() == world["items"].count()

@@ -1,12 +1,13 @@
 import datetime as dt
 import gzip
+import os
 
 import pytest
 from pyspark.errors import PySparkException
 
 from larder.functions import casts
 from larder.sources.csv_stage import content_keys, export_csv, load_abort_on_error, read_stage_csv, with_audit, with_file
-from larder.sources.manifest import copy_history, history_from_stage, incremental_load, read_manifest
+from larder.sources.manifest import copy_history, history_from_stage, incremental_load, list_files, read_manifest, read_stage
 
 NOW = dt.datetime(2024, 5, 1, 12)
 
@@ -95,11 +96,44 @@ def test_incremental_load_skips_force_reloads(spark, tmp_path):
     manifest = read_manifest(spark, str(tmp_path / "manifest"))
     recent = copy_history(manifest, "t", NOW + 3 * hour, dt.timedelta(minutes=90))
     assert recent.count() == 4
-    stage = spark.read.parquet(str(tmp_path / "stage"))
+    stage = read_stage(spark, str(tmp_path / "stage"), str(tmp_path / "manifest"), "t")
     assert stage.count() == 2 + 4 + 4
     assert history_from_stage(stage).where("_stg_file_name = 'b.csv'").first()["row_count"] == 2
 
 
+def test_unchanged_files_are_not_opened_and_touched_ones_only_once(spark, tmp_path, monkeypatch):
+    from larder.sources import manifest as module
+
+    root = tmp_path / "in"
+    args = (spark, "t", str(root), ["n"], str(tmp_path / "stage"), str(tmp_path / "manifest"))
+    path = put(root, "a.csv", "h\n1\n2\n")
+    put(root, "empty.csv", "h\n")
+    incremental_load(*args, loaded_at=NOW)
+    opened = []
+    real = module.read_stage_csv
+    monkeypatch.setattr(module, "read_stage_csv", lambda spark, paths, *a, **k: opened.append(paths) or real(spark, paths, *a, **k))
+    assert incremental_load(*args, loaded_at=NOW + dt.timedelta(hours=1)).count() == 0
+    assert opened == []  # the file without rows is known too
+    os.utime(path, (1, 1))
+    assert incremental_load(*args, loaded_at=NOW + dt.timedelta(hours=2)).count() == 0
+    assert [len(p) for p in opened] == [1]
+    assert list_files(spark, str(root)).count() == 2
+
+
+def test_load_that_breaks_off_leaves_no_double_rows(spark, tmp_path, monkeypatch):
+    from larder.sources import manifest as module
+
+    root = tmp_path / "in"
+    args = (spark, "t", str(root), ["n"], str(tmp_path / "stage"), str(tmp_path / "manifest"))
+    put(root, "a.csv", "h\n1\n2\n")
+    with monkeypatch.context() as m:
+        m.setattr(module, "manifest_rows", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental_load(*args, loaded_at=NOW)
+    assert incremental_load(*args, loaded_at=NOW + dt.timedelta(hours=1)).count() == 1
+    assert sorted(r["n"] for r in read_stage(spark, args[4], args[5], "t").collect()) == ["1", "2"]
+
+
 def test_export(spark, tmp_path):
     df = spark.createDataFrame([(1, 'say "hi", you'), (2, None)], "id int, s string")
     path = str(tmp_path / "out")

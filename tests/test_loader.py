@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from larder import schemas
 from larder.functions.masking import mask_tagged, tagged_columns
 from larder.plans.clean import empty_clean, latest_rows
+from larder.streaming import loader as loader_module
 from larder.streaming.loader import EntityLoader
 
 DAY = [dt.datetime(2024, 6, d) for d in range(1, 10)]
@@ -88,7 +89,7 @@ def test_rows_without_a_usable_key_are_quarantined(spark, tmp_path):
 
 
 def test_enforced_rules_stop_the_load(spark, tmp_path):
-    s = Stage(spark, tmp_path, schemas.LOCATION, enforce=True)
+    s = Stage(spark, tmp_path, schemas.LOCATION)
     with pytest.raises(StreamingQueryException, match="zip_code max_length_10: 1 rows"):
         s.deliver("a.csv", LOC.format(1, "Agra", "Goa", "12345678901", 1))
     assert s.clean("location_id") == []
@@ -159,7 +160,7 @@ def test_address_maps_state_and_pincode_by_position_and_keeps_its_customer(spark
 
 def test_menu_batch_with_the_same_id_twice(spark, tmp_path):
     line = "{0},5, {1} ,desc,{2},Main,{3},Veg,2024-01-01 00:00:00,2024-01-0{4} 00:00:00"
-    s = Stage(spark, tmp_path, schemas.MENU)
+    s = Stage(spark, tmp_path, schemas.MENU, enforce=False)
     s.deliver("a.csv", line.format(1, "Rice", "10.00", "TRUE", 1), line.format(1, "Rice Bowl", "12.00", "False", 3),
               line.format(2, "Soup", "x", "maybe", 1))
     assert s.clean("menu_id", "item_name", "price", "availability") == [
@@ -193,12 +194,13 @@ def test_orders_keep_their_first_customer_and_cents(spark, tmp_path):
     assert s.clean("order_id", "customer_id_fk", "total_amount", "status") == [(1, 10, Decimal("105.49"), "Delivered")]
 
 
-def test_committed_batch_is_not_applied_again(spark, tmp_path):
+def test_committed_batch_is_not_applied_again(spark, tmp_path, monkeypatch):
     line = "{0},{1},3,2024-01-01 12:00:00,5,Pending,CARD,2024-01-01 12:00:00,2024-01-01 12:00:00"
     s = Stage(spark, tmp_path, schemas.ORDERS)
     s.deliver("a.csv", line.format(1, 10))
     before = s.loader.store.state()
     batch = s.loader.stage().where("false")
+    monkeypatch.setattr(loader_module, "stream_of", lambda batch: before["source"])
     s.loader.load_batch(batch, 0)
     assert s.loader.store.state() == before
 
@@ -222,6 +224,47 @@ def test_batch_interrupted_before_commit_is_repeated(spark, tmp_path, monkeypatc
     assert s.loader.stage().count() == 3
 
 
+def test_a_table_keeps_its_buckets(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    s.deliver("a.csv", *[LOC.format(k, "Agra", "Goa", k, 1) for k in range(1, 40)])
+    root = str(tmp_path / "tables")
+    with pytest.raises(ValueError, match="4 buckets, not 8"):
+        EntityLoader(spark, schemas.LOCATION, root, buckets=8).clean()
+    s.loader = EntityLoader(spark, schemas.LOCATION, root, clock=lambda b: DAY[b])
+    s.deliver("b.csv", *[LOC.format(k, "Pune", "Goa", k, 2) for k in (3, 50)])
+    assert [r[0] for r in s.clean("location_id")] == [*range(1, 40), 50]
+    assert sum(v[-1] for v in s.versions("city")) == 40
+
+
+def test_a_lost_checkpoint_neither_loses_nor_doubles_rows(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    for k in (1, 2, 3):
+        s.deliver(f"{k}.csv", LOC.format(k, "Agra", "Goa", k, k))
+    (tmp_path / "tables" / "location" / "checkpoint").rename(tmp_path / "lost")
+    s.deliver("4.csv", LOC.format(4, "Agra", "Goa", 4, 4))
+    s.deliver("5.csv", LOC.format(5, "Agra", "Goa", 5, 5))
+    assert [r[0] for r in s.clean("location_id")] == [1, 2, 3, 4, 5]
+    assert s.loader.stage().count() == 5
+    assert len(s.versions("city")) == 5
+
+
+def test_forced_reload(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    s.deliver("a.csv", LOC.format(1, "Agra", "Goa", 1, 1))
+    s.loader.run(str(s.folder), force=True)
+    assert s.loader.stage().count() == 2
+    assert s.clean("location_id") == [(1,)]
+    s.deliver("b.csv", LOC.format(2, "Agra", "Goa", 2, 2))
+    assert s.loader.stage().count() == 3
+    assert s.clean("location_id") == [(1,), (2,)]
+
+
+def test_rules_hold_for_rows_that_later_ones_replace(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    with pytest.raises(StreamingQueryException, match="zip_code max_length_10: 1 rows"):
+        s.deliver("a.csv", LOC.format(1, "Agra", "Goa", "12345678901", 1), LOC.format(1, "Agra", "Goa", "1", 2))
+
+
 def test_every_entity_has_a_clean_schema(spark):
     for entity in schemas.ENTITIES.values():
         df = empty_clean(spark, entity)

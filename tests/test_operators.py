@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from larder.functions import masking
 from larder.operators.change_set import change_set
 from larder.operators.dedupe import latest_per_key
-from larder.operators.lookup import lookup, lookup_along_history, orphans
+from larder.operators.lookup import lookup, lookup_along_history, match_audit, orphans
 from larder.operators.merge import merge_upsert
 from larder.operators.quality import QualityError, column_violations, duplicate_keys, quarantine, require_clean
-from larder.operators.scd2 import Dimension, apply_scd2, open_versions, scd2_history
+from larder.operators.scd2 import apply_scd2, Dimension, open_versions, scd2_history, without_place
 from larder.operators.surrogate import surrogate_key
 
 DIM = Dimension("d", "hk", ("k",), ("a", "b"))
@@ -238,8 +238,10 @@ def test_lookups_equal_brute_force(spark, rows):
     vs = [r for r in dim_df.collect()]
 
     def brute(k, at):
-        hits = [v["hk"] for v in vs if v["k"] == k and v["eff_start_date"] <= at and (v["eff_end_date"] is None or at < v["eff_end_date"])]
-        # Zero-length versions never match; at most one other does.
+        # Zero-length versions never match; the first other one covers the time before it; at most one matches.
+        mine = [v for v in vs if v["k"] == k and (v["eff_end_date"] is None or v["eff_start_date"] < v["eff_end_date"])]
+        begin = min((v["eff_start_date"] for v in mine), default=None)
+        hits = [v["hk"] for v in mine if (v["eff_start_date"] in (begin,) or v["eff_start_date"] <= at) and (v["eff_end_date"] is None or at < v["eff_end_date"])]
         assert len(hits) <= 1
         return hits[0] if hits else None
 
@@ -248,6 +250,11 @@ def test_lookups_equal_brute_force(spark, rows):
     along = lookup_along_history(facts, dim_df, DIM, "at", "hk", "key")
     assert sorted((r["id"], r["key"]) for r in by_join.collect()) == want
     assert sorted((r["id"], r["key"]) for r in along.collect()) == want
+    # The order of the dimension's rows plays no part.
+    for seed in (1, 2, 3):
+        shuffled = dim_df.orderBy(F.rand(seed)).repartition(3)
+        again = lookup_along_history(facts, shuffled, DIM, "at", "hk", "key")
+        assert sorted((r["id"], r["key"]) for r in again.collect()) == want
 
 
 def test_lookup_takes_the_current_version_without_a_moment(spark, rows):
@@ -262,6 +269,32 @@ def test_orphans_counts_rows_and_values(spark, rows):
     assert rows(orphans(facts, parents)) == [("x", 3, 2), ("y", 0, 0)]
 
 
+def test_orphans_with_text_keys(spark, rows):
+    facts = spark.createDataFrame([("C1", 1), ("C9", 1), (None, 2)], "c string, n int")
+    parents = {"c": (spark.createDataFrame([("C1",)], "id string"), "id"), "n": (spark.createDataFrame([(1,)], "id bigint"), "id")}
+    assert rows(orphans(facts, parents)) == [("c", 1, 1), ("n", 1, 1)]
+
+
+def test_match_audit_counts_pairs(spark, rows):
+    left = spark.createDataFrame([(1,), (1,), (2,), (None,)], "a bigint")
+    right = spark.createDataFrame([(1,), (1,), (1,), (3,), (None,)], "b bigint")
+    assert rows(match_audit(left, right, [("a", "b")])) == [(1, 1, 6)]
+
+
+def test_log_entries_without_key_or_time_are_returned(spark, rows):
+    log = spark.createDataFrame([(1, "a", None, T[0], 1), (None, "a", None, T[0], 2), (2, "a", None, None, 3)], SCHEMA + ", ts timestamp_ntz, seq int")
+    assert scd2_history(log, ["k"], ["a", "b"], "ts", "seq").count() == 1
+    assert rows(without_place(log, ["k"], "ts"), "seq") == [(2,), (3,)]
+
+
+def test_small_source_leaves_the_target_where_it_is(spark):
+    target = spark.range(100_000).select(F.col("id").alias("k"), F.lit("a").alias("a"))
+    source = spark.range(50_000, 150_000, 20).select(F.col("id").alias("k"), F.lit("b").alias("a"))
+    merged = merge_upsert(target, source, ["k"], small_source=True)
+    assert merged.count() == 102_500
+    assert "Exchange hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
+
+
 # Quality --------------------------------------------------------------------
 
 
