@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.tables import BLANKS, NO_ID, batch_from, batch_of, width
+from larder.llm.tables import BLANKS, batch_from, batch_of, slices, width, written
 
 CELL_BITS = 27
 HOT = 20_000
@@ -201,45 +201,54 @@ def buffer_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buffer[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def cell_of(key: np.ndarray, bits: int) -> np.ndarray:
+    """Anchors are least hashes, thus not spread evenly; mixing them again spreads them."""
+    return (mixed(key * U(STEP) + U(MULT)) >> U(64 - bits)).astype(np.int64)
+
+
 @dataclass
 class Cells:
-    """Anchors that occur at least twice, and those that occur very often, by a part of their hash."""
+    """Which keys were counted at least so many times, by a part of their hash. A key can pass by chance, none is lost."""
 
     bits: int
-    twice: np.ndarray  # packed bits
-    hot: np.ndarray  # sorted cells
+    marked: np.ndarray  # packed bits
+    often: np.ndarray  # sorted cells
 
-    def repeated(self, key: np.ndarray) -> np.ndarray:
-        cell = (key >> U(64 - self.bits)).astype(np.int64)
-        return (self.twice[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
+    def has(self, key: np.ndarray) -> np.ndarray:
+        cell = cell_of(key, self.bits)
+        return (self.marked[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
 
-    def is_hot(self, key: np.ndarray) -> np.ndarray:
-        cell = (key >> U(64 - self.bits)).astype(np.int64)
-        if not len(self.hot):
+    def has_often(self, key: np.ndarray) -> np.ndarray:
+        cell = cell_of(key, self.bits)
+        if not len(self.often):
             return np.zeros(len(cell), bool)
-        return self.hot[np.minimum(np.searchsorted(self.hot, cell), len(self.hot) - 1)] == cell
+        return self.often[np.minimum(np.searchsorted(self.often, cell), len(self.often) - 1)] == cell
+
+
+MOST = 65_535
 
 
-def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, hot: int = HOT) -> Cells:
-    """Counts ``keys_of(batch)`` of all batches in 2**bits cells.
+def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, least: int = 2, often: int = MOST) -> Cells:
+    """Marks the cells, of 2**bits, that ``keys_of(batch)`` names at least ``least`` times over all batches.
 
-    What the driver gets has a fixed size: a bit for each cell, and the cells with at least ``hot`` rows. With more data
-    than cells the bits only filter less; results don't depend on them.
+    Those named more than ``often`` times, at most ``MOST``, are listed. What the driver gets and sends out has a fixed
+    size: a bit for each cell, and a list as long as the rows allow for so frequent cells. With more data than cells they
+    only filter less; results don't depend on them.
     """
-    block_bits = 16
+    block_bits = min(16, bits)
     blocks = 1 << (bits - block_bits)
+    often = min(often, MOST - 1)
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cell, count = np.unique(keys_of(batch) >> U(64 - bits), return_counts=True)
-            cell = cell.astype(np.int64)
-            block = cell >> block_bits
-            cuts = np.searchsorted(block, np.arange(blocks + 1))
+            cell, count = np.unique(cell_of(keys_of(batch), bits), return_counts=True)
+            cuts = np.searchsorted(cell >> block_bits, np.arange(blocks + 1)).tolist()
             rows = []
-            for k in np.unique(block).tolist():
-                a, b = cuts[k], cuts[k + 1]
-                data = (cell[a:b] & ((1 << block_bits) - 1)).astype("<u2").tobytes() + count[a:b].astype("<u4").tobytes()
-                rows.append((k, int(b - a), zlib.compress(data, 1)))
+            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                if a < b:
+                    low = (cell[a:b] & ((1 << block_bits) - 1)).astype("<u2")
+                    many = np.minimum(count[a:b], MOST).astype("<u2")
+                    rows.append((k, b - a, zlib.compress(low.tobytes() + many.tobytes(), 1)))
             if rows:
                 yield batch_of(rows, "block int, n int, data binary")
 
@@ -248,79 +257,124 @@ def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, hot: int = HOT)
         for batch in batches:
             for r in batch.to_pylist():
                 data, n = zlib.decompress(r["data"]), r["n"]
-                total = totals.setdefault(r["block"], np.zeros(1 << block_bits, np.int64))
-                total[np.frombuffer(data, "<u2", n)] += np.frombuffer(data, "<u4", n, 2 * n)
+                total = totals.setdefault(r["block"], np.zeros(1 << block_bits, np.uint16))
+                at = np.frombuffer(data, "<u2", n)
+                more = total[at].astype(np.int64) + np.frombuffer(data, "<u2", n, 2 * n)
+                total[at] = np.minimum(more, MOST)
         for k, total in totals.items():
-            often = np.flatnonzero(total >= hot) + (k << block_bits)
-            yield batch_of([(k, np.packbits(total >= 2).tobytes(), often.tolist())], "block int, bits binary, hot array<bigint>")
+            many = np.flatnonzero(total > often) + (k << block_bits)
+            yield batch_of([(k, np.packbits(total >= least).tobytes(), many.tolist())], "block int, bits binary, often array<bigint>")
 
-    ddl = "block int, n int, data binary"
-    spread = rows.mapInArrow(inside, ddl).repartition(width(rows.sparkSession), "block")
-    twice, often = np.zeros(1 << (bits - 3), np.uint8), []
-    size = 1 << (block_bits - 3)
-    for r in spread.mapInArrow(across, "block int, bits binary, hot array<bigint>").toLocalIterator():
-        twice[r.block * size : (r.block + 1) * size] = np.frombuffer(r.bits, np.uint8)
-        often += r.hot
-    return Cells(bits, twice, np.sort(np.array(often, np.int64)))
+    spread = rows.mapInArrow(inside, "block int, n int, data binary").repartition(width(rows.sparkSession), "block")
+    marked, many = np.zeros((1 << bits) // 8, np.uint8), []
+    size = (1 << block_bits) // 8
+    for r in spread.mapInArrow(across, "block int, bits binary, often array<bigint>").collect():
+        marked[r.block * size : (r.block + 1) * size] = np.frombuffer(r.bits, np.uint8)
+        many += r.often
+    return Cells(bits, marked, np.sort(np.array(many, np.int64)))
 
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def unsigned(column: pa.Array) -> np.ndarray:
+def unsigned(column) -> np.ndarray:
     return np.asarray(column, np.int64).view(U)
 
 
-def order_of(k1: np.ndarray) -> np.ndarray:
-    """Document ids as they compare; a null id comes after all others."""
-    return np.where(k1 == NO_ID, np.iinfo(np.int64).max, k1)
+PLACES = "k1 bigint, k2 int, h bigint, c bigint, start bigint, windows int"
+SHIPPED = "h bigint, c bigint, n bigint, first bigint, anchor int, windows int, data binary"
+COVERS = "h bigint, c bigint, first bigint, low int, high int"
 
 
-CLASSES = "h bigint, c bigint, n bigint, first bigint, anchor int, windows int, data binary"
-COVERS = "h bigint, c bigint, first bigint, low int, high int"
-PLACES = "k1 bigint, k2 bigint, h bigint, c bigint, start bigint, windows int"
+def _name(key: np.ndarray, content: np.ndarray, k1: np.ndarray) -> np.ndarray:
+    """One hash for a segment in a document."""
+    return mixed(mixed(key ^ mixed(content + U(MULT))) + mixed(k1.astype(np.int64).view(U) * U(STEP)))
 
 
-def shipped(rows: DataFrame, segments_of, cells: Cells, hot: bool) -> DataFrame:
-    """Segments whose anchor occurs again, with their content: one row for all equal ones of a batch.
+@dataclass
+class Repeats:
+    """Segments that can have a partner.
 
-    ``segments_of(batch)`` gives Segments and a function from a row of them to its content. Anchors that occur very
-    often (``hot``) are asked for apart from the others.
+    ``places``: where they are. ``alone``: classes of equal segments, (h, c, n, first), that share their anchor with no
+    other class; ``n`` is their number, above one, and ``first`` the least document. ``shards``: the other classes with
+    their content, dealt by anchor. ``often``: those whose anchor has very many classes.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            s, content = segments_of(batch)
-            keep = cells.repeated(s.key) & (cells.is_hot(s.key) == hot)
-            s = s.take(np.flatnonzero(keep))
-            first = order_of(np.asarray(batch.column(0), np.int64))[s.doc]
-            order = np.lexsort((first, s.content, s.key))
-            new = np.ones(len(order), bool)
-            new[1:] = (s.key[order][1:] != s.key[order][:-1]) | (s.content[order][1:] != s.content[order][:-1])
-            head = np.flatnonzero(new)
-            counts = np.diff(np.append(head, len(order)))
-            s, first = s.take(order[head]), first[order[head]]
-            for a in range(0, len(head), 50_000):
-                part = slice(a, a + 50_000)
-                data = [content(s, k) for k in range(a, min(a + 50_000, len(head)))]
-                columns = [signed(s.key[part]), signed(s.content[part]), counts[part], first[part], s.anchor[part], s.n[part], data]
-                yield batch_from(columns, CLASSES)
-
-    return rows.mapInArrow(run, CLASSES)
-
-
-def places(rows: DataFrame, segments_of, cells: Cells) -> DataFrame:
-    """Where the segments are whose anchor occurs again."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    places: DataFrame
+    alone: DataFrame
+    shards: DataFrame
+    often: DataFrame | None
+
+
+CLASSES = "h bigint, c bigint, n bigint, first bigint"
+
+
+def repeats(texts: DataFrame, segments_of, cell_bits: int, hot: int) -> Repeats:
+    """``texts``: k1, k2, text. ``segments_of(batch)`` gives Segments and a function from one of them to its content.
+
+    Copies are merged before the shuffle; only the first document of each class sends its content, and only if the anchor
+    has other classes too. Anchors with more than ``hot`` classes get no shard, see ``by_windows``.
+    """
+    spark = texts.sparkSession
+    cells = count_cells(texts, lambda batch: np.concatenate([np.zeros(0, U), *(x.key for x, *_ in _parts(batch, segments_of))]), cell_bits)
+
+    def find(*marked: Cells):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for s, _, k1, k2 in _parts(batch, segments_of):
+                    keep = np.flatnonzero(np.logical_and.reduce([m.has(s.key) for m in marked]))
+                    s = s.take(keep)
+                    yield batch_from([k1[s.doc], k2[s.doc], signed(s.key), signed(s.content), s.start, s.n], PLACES)
+
+        return run
+
+    classes = texts.mapInArrow(find(cells), PLACES).groupBy("h", "c")
+    classes = written(classes.agg(F.count("*").alias("n"), F.min("k1").alias("first")), "segment-classes")
+    key = lambda batch: unsigned(batch.column(0))
+    shared = count_cells(classes.select("h"), key, cell_bits, 2, hot)
+
+    def chosen(test):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(test(unsigned(batch.column(0)))))
+
+        return classes.mapInArrow(run, CLASSES)
+
+    several = chosen(lambda h: shared.has(h) & ~shared.has_often(h))
+    alone = chosen(lambda h: ~shared.has(h)).where("n > 1")
+
+    def names(batch):
+        return _name(unsigned(batch.column(0)), unsigned(batch.column(1)), np.asarray(batch.column(3)))
+
+    wanted = count_cells(several, names, cell_bits, 1)
+
+    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s, _ = segments_of(batch)
-            s = s.take(np.flatnonzero(cells.repeated(s.key)))
-            k1, k2 = (np.asarray(batch.column(k), np.int64)[s.doc] for k in (0, 1))
-            yield batch_from([k1, k2, signed(s.key), signed(s.content), s.start, s.n], PLACES)
+            for s, content, k1, _ in _parts(batch, segments_of):
+                s = s.take(np.flatnonzero(cells.has(s.key)))
+                name = _name(s.key, s.content, k1[s.doc])
+                name, once = np.unique(name, return_index=True)
+                s = s.take(once[wanted.has(name)])
+                m = len(s.n)
+                none = np.full(m, np.iinfo(np.int64).max)
+                data = [content(s, k) for k in range(m)]
+                yield batch_from([signed(s.key), signed(s.content), np.zeros(m, np.int64), none, s.anchor, s.n, data], SHIPPED)
+
+    contents = texts.mapInArrow(ship, SHIPPED)
+    counts = several.select(
+        "h", "c", "n", "first", *(F.lit(None).cast(kind).alias(x) for x, kind in (("anchor", "int"), ("windows", "int"), ("data", "binary")))
+    )
+    # What passed the first bitmap only by chance is not moved again: a class that is alone and occurs once.
+    real = count_cells(chosen(shared.has).select("h").union(alone.select("h")), key, cell_bits, 1)
+    often = chosen(shared.has_often) if len(shared.often) else None
+    return Repeats(texts.mapInArrow(find(cells, real), PLACES), alone, contents.union(counts).repartition(width(spark), "h"), often)
 
-    return rows.mapInArrow(run, PLACES)
+
+def _parts(batch: pa.RecordBatch, segments_of) -> Iterator[tuple]:
+    """Segments, their content, k1 and k2 of slices of a batch."""
+    for part in slices([batch], 2):
+        yield *segments_of(part), np.asarray(part.column(0)), np.asarray(part.column(1))
 
 
 @dataclass
@@ -337,35 +391,52 @@ class Shard:
 
 
 def shard_of(batches: Iterator[pa.RecordBatch]) -> Shard | None:
+    """Joins the counts of each class with its content."""
     tables = list(batches)
     if not tables:
         return None
-    table = pa.Table.from_batches(tables).combine_chunks()
-    key, content = unsigned(table["h"]), unsigned(table["c"])
-    n, first = np.asarray(table["n"]), np.asarray(table["first"])
-    order = np.lexsort((first, content, key))
-    same_key = key[order][1:] == key[order][:-1]
-    heads = np.flatnonzero(np.append(True, ~(same_key & (content[order][1:] == content[order][:-1]))))
+    table = pa.Table.from_batches(tables)
+    key, content, n = unsigned(table["h"]), unsigned(table["c"]), np.asarray(table["n"])
+    has_data = ~np.asarray(table["data"].is_null())
+    order = np.lexsort((~has_data, content, key))
+    new = np.append(True, (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1]))
+    heads = np.flatnonzero(new)
     total = np.add.reduceat(n[order], heads)
-    of_key = np.cumsum(np.append(True, key[order][heads][1:] != key[order][heads][:-1])) - 1
-    keep = np.bincount(of_key, total)[of_key] > 1  # a false partner shares a cell but not the key
+    first = np.minimum.reduceat(np.asarray(table["first"])[order], heads)
+    keep = total > 0  # content of a class that wasn't asked for comes without a count
     rows = order[heads][keep]
+    if not has_data[rows].all():
+        raise RuntimeError("a class came without its content")
     data = table["data"].take(pa.array(rows)).to_pylist()
-    anchor, windows = np.asarray(table["anchor"]), np.asarray(table["windows"])
-    return Shard(key[rows], content[rows], total[keep], first[rows], anchor[rows], windows[rows], data)
+    anchor = np.asarray(table["anchor"].take(pa.array(rows)))
+    return Shard(key[rows], content[rows], total[keep], first[keep], anchor, np.asarray(table["windows"])[rows], data)
 
 
-def by_windows(classes: DataFrame, window_of, length: int, covered) -> DataFrame:
-    """Covers of very frequent anchors, without bringing the rows of one together: windows are counted by their digest.
+def by_windows(found: Repeats, texts: DataFrame, segments_of, cell_bits: int, window_of, length: int, covered) -> DataFrame | None:
+    """Covers for anchors of very many classes, without bringing those together: windows count by their digest.
 
     ``window_of(offset)`` is the column of the window at that offset, ``covered`` the condition on ``own`` (the class)
-    and ``all`` (all its occurrences), each a struct of n and first.
+    and ``all`` (all its occurrences), each a struct of n and first. None where no anchor has so many.
     """
-    own = classes.groupBy("h", "c").agg(
-        F.sum("n").alias("n"), F.min("first").alias("first"), F.first("windows").alias("windows"), F.first("data").alias("data")
-    )
-    single = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("windows") - 1))).select(
-        "h", "c", F.col("o"), F.struct("n", "first").alias("own"), F.md5(window_of(F.col("o"))).alias("w")
+    often = found.often
+    if often is None:
+        return None
+    cells = count_cells(often.select("h"), lambda batch: unsigned(batch.column(0)), cell_bits, 1)
+
+    def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, content, _, _ in _parts(batch, segments_of):
+                s = s.take(np.flatnonzero(cells.has(s.key)))
+                s = s.take(np.unique(np.stack([s.key, s.content]), axis=1, return_index=True)[1])
+                data = [content(s, k) for k in range(len(s.n))]
+                yield batch_from([signed(s.key), signed(s.content), s.n, data], ddl)
+
+    ddl = "h bigint, c bigint, windows int, data binary"
+    contents = texts.mapInArrow(ship, ddl).groupBy("h", "c").agg(F.first("windows").alias("windows"), F.first("data").alias("data"))
+    single = (
+        often.join(contents, ["h", "c"])
+        .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("windows") - 1)))
+        .select("h", "c", "o", F.struct("n", "first").alias("own"), F.md5(window_of(F.col("o"))).alias("w"))
     )
     total = single.groupBy("w").agg(F.struct(F.sum("own.n").alias("n"), F.min("own.first").alias("first")).alias("all"))
     met = single.join(total, "w").withColumn("o", F.when(covered, F.col("o")))
@@ -378,7 +449,7 @@ def by_windows(classes: DataFrame, window_of, length: int, covered) -> DataFrame
 
 def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """``rows`` of doc_id, text, k1 and k2, with the list of (a, b) of each in ``spans``."""
-    lists = spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+    lists = spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return rows.join(lists, ["k1", "k2"], "left").select("doc_id", "text", "spans")
 
 

@@ -17,11 +17,10 @@ from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
-from larder.llm.tables import batch_from, plain
+from larder.llm.tables import batch_from, plain, slices
 
 CHUNK_BYTES = 16 << 20
 KEPT_WORDS = 200_000
@@ -255,22 +254,10 @@ class WordStore:
 def encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) to (doc_id, ids)."""
     store = WordStore(vocabulary(path).encode_words)
-    for batch in batches:
-        for part in pieces_of(batch, CHUNK_BYTES):
-            ids, counts = store.encode(part.column(1).to_pylist())
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids))
-            yield pa.record_batch([part.column(0), lists], names=["doc_id", "ids"])
-
-
-def pieces_of(batch: pa.RecordBatch, limit: int) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``limit`` bytes of text in column 1, of one row at least; a text is never cut."""
-    sizes = np.cumsum(np.array(pc.binary_length(batch.column(1)), np.int64))
-    start = 0
-    while start < batch.num_rows:
-        done = sizes[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(sizes, done + limit, "right")))
-        yield batch.slice(start, stop - start)
-        start = stop
+    for part in slices(batches, 1, CHUNK_BYTES):
+        ids, counts = store.encode(part.column(1).to_pylist())
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids))
+        yield pa.record_batch([part.column(0), lists], names=["doc_id", "ids"])
 
 
 def decoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple]:

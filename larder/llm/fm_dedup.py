@@ -17,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.anchors import (
-    CELL_BITS, COVERS, HOT, Shard, buffer_of, by_windows, count_cells, merged, places, segments, shard_of,
-    shipped, signed, with_spans, word_values, words_of_bytes,
+    CELL_BITS, COVERS, HOT, Shard, buffer_of, by_windows, merged, repeats, segments, shard_of, signed, with_spans,
+    word_values, words_of_bytes,
 )
 from larder.llm.fm_index import FMIndex
-from larder.llm.tables import batch_from, batch_of, keyed, plain, width
+from larder.llm.tables import batch_from, batch_of, keyed, plain
 
 WINDOW = 13
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -81,7 +81,6 @@ KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 def earlier_spans(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_BITS, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Rows of doc_id, text, k1, k2, and spans (k1, k2, a, b) of words in windows that start in an earlier document."""
     gram = max(1, window * 2 // 5)
-    spark = docs.sparkSession
     rows = keyed(plain(docs)).select("k1", "k2", "text", "doc_id")
     texts = rows.select("k1", "k2", "text")
 
@@ -95,7 +94,7 @@ def earlier_spans(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_B
 
         return segments(word_values(words), words.offsets, window, gram), content
 
-    cells = count_cells(texts, lambda batch: segments_of(batch)[0].key, cell_bits, hot)
+    found = repeats(texts, segments_of, cell_bits, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = shard_of(batches)
@@ -103,18 +102,20 @@ def earlier_spans(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_B
             low, high = covers_of(shard, window)
             yield batch_from([signed(shard.key), signed(shard.content), shard.first, low, high], COVERS)
 
-    covers = shipped(texts, segments_of, cells, False).repartition(width(spark), "h").mapInArrow(run, COVERS)
-    if len(cells.hot):
-        often = shipped(texts, segments_of, cells, True)
+    # An anchor with one class has no other windows: later documents are covered, the first one isn't.
+    zero = F.lit(0)
+    alone = found.alone.select("h", "c", "first", zero.alias("low"), zero.alias("high"))
+    covers = found.shards.mapInArrow(run, COVERS).unionByName(alone)
 
-        def window_of(o):
-            words = F.slice(F.split(F.col("data").cast("string"), " "), o + 1, F.lit(window))
-            return F.array_join(words, " ").cast("binary")
+    def window_of(o):
+        words = F.slice(F.split(F.col("data").cast("string"), " "), o + 1, F.lit(window))
+        return F.array_join(words, " ").cast("binary")
 
-        covers = covers.unionByName(by_windows(often, window_of, window, F.col("all.first") < F.col("own.first")))
-    met = places(texts, segments_of, cells).join(covers, ["h", "c"])
-    own = F.when(F.col("k1") == F.lit(-(1 << 63)), F.lit((1 << 63) - 1)).otherwise(F.col("k1"))
-    later = own > F.col("first")
+    often = by_windows(found, texts, segments_of, cell_bits, window_of, window, F.col("all.first") < F.col("own.first"))
+    if often is not None:
+        covers = covers.unionByName(often)
+    met = found.places.join(covers, ["h", "c"])
+    later = F.col("k1") > F.col("first")
     spans = met.where(later | (F.col("high") > F.col("low"))).select(
         "k1",
         "k2",
@@ -129,7 +130,7 @@ def remove_earlier(docs: DataFrame, window: int = WINDOW, cell_bits: int = CELL_
 
     Each word goes that a window of ``window`` words covers whose words also start in a document with a smaller doc_id,
     judged on the input. A null id counts as larger than all others. Rows that repeat an id don't cover each other. Null
-    text has no words. ``cell_bits`` bounds a filter and ``hot`` the rows of one anchor in a task; neither changes the
+    text has no words. ``cell_bits`` bounds a filter and ``hot`` the classes of one anchor in a task; neither changes the
     result.
     """
     rows, spans = earlier_spans(docs, window, cell_bits, hot)

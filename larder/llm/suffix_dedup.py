@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.anchors import (
-    CELL_BITS, COVERS, HOT, Shard, buffer_of, by_windows, byte_values, count_cells, merged, places, segments, shard_of,
-    shipped, signed, with_spans,
+    CELL_BITS, COVERS, HOT, Shard, buffer_of, by_windows, byte_values, merged, repeats, segments, shard_of, signed,
+    with_spans,
 )
-from larder.llm.tables import batch_from, batch_of, keyed, plain, width
+from larder.llm.tables import batch_from, batch_of, keyed, plain
 
 LENGTH = 200
 
@@ -126,8 +126,7 @@ def repeated_spans(docs: DataFrame, least: int = LENGTH, cell_bits: int = CELL_B
 
     Of a span every byte is covered by a string of ``least`` bytes that also starts elsewhere. Spans may overlap.
     """
-    gram = max(1, least * 8 // 25)
-    spark = docs.sparkSession
+    gram = max(1, least * 4 // 25)
     rows = keyed(plain(docs)).select("k1", "k2", "text", "doc_id")
     texts = rows.select("k1", "k2", "text")
 
@@ -135,7 +134,7 @@ def repeated_spans(docs: DataFrame, least: int = LENGTH, cell_bits: int = CELL_B
         buffer, offsets = buffer_of(batch.column(2))
         return segments(byte_values(buffer), offsets, least, gram), lambda s, k: buffer[s.low[k] : s.high[k]].tobytes()
 
-    cells = count_cells(texts, lambda batch: segments_of(batch)[0].key, cell_bits, hot)
+    found = repeats(texts, segments_of, cell_bits, hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = shard_of(batches)
@@ -144,13 +143,16 @@ def repeated_spans(docs: DataFrame, least: int = LENGTH, cell_bits: int = CELL_B
             k = np.flatnonzero(high > low)
             yield batch_from([signed(shard.key[k]), signed(shard.content[k]), shard.first[k], low[k], high[k]], COVERS)
 
-    covers = shipped(texts, segments_of, cells, False).repartition(width(spark), "h").mapInArrow(run, COVERS)
-    if len(cells.hot):
-        often = shipped(texts, segments_of, cells, True)
-        found = by_windows(often, lambda o: F.substring("data", o + 1, F.lit(least)), least, F.col("all.n") > 1)
-        covers = covers.unionByName(found.where("high > low"))
-    met = places(texts, segments_of, cells).join(covers, ["h", "c"])
-    spans = met.select("k1", "k2", (F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.col("high")).alias("b"))
+    # An anchor with one class is a tree of one leaf; all its occurrences are a group.
+    whole = F.lit(1 << 30)
+    alone = found.alone.select("h", "c", "first", F.lit(0).alias("low"), whole.alias("high"))
+    covers = found.shards.mapInArrow(run, COVERS).unionByName(alone)
+    window_of = lambda o: F.substring("data", o + 1, F.lit(least))
+    often = by_windows(found, texts, segments_of, cell_bits, window_of, least, F.col("all.n") > 1)
+    if often is not None:
+        covers = covers.unionByName(often.where("high > low"))
+    met = found.places.join(covers, ["h", "c"])
+    spans = met.select("k1", "k2", (F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.least("high", F.col("windows") + (least - 1))).alias("b"))
     return rows, spans
 
 
@@ -159,7 +161,7 @@ def remove_repeats(docs: DataFrame, least: int = LENGTH, cell_bits: int = CELL_B
 
     Each byte goes that is covered by a string of ``least`` bytes which starts anywhere else too, in the same text or
     another; matches don't cross texts and are judged on the input. Null text is empty. Rows that repeat are copies of
-    each other. ``cell_bits`` bounds a filter and ``hot`` the rows of one anchor in a task; neither changes the result.
+    each other. ``cell_bits`` bounds a filter and ``hot`` the classes of one anchor in a task; neither changes the result.
     """
     rows, spans = repeated_spans(docs, least, cell_bits, hot)
 

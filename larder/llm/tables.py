@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from larder.session import run_dir, shared_dir
 
 # The ASCII white space of the contracts: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
-NO_ID = -(1 << 63)
+NO_ID = (1 << 63) - 1  # stands for a null id: larger than all others
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +32,9 @@ def plain(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def keyed(rows: DataFrame) -> DataFrame:
     """Adds what identifies a row of ``plain`` in joins: the id (nulls as ``NO_ID``) and a hash of the text.
 
-    Rows that repeat in both are copies in any case, so a join on the two is right for repeated ids too.
+    The hash only tells rows apart that share an id.
     """
-    return rows.withColumn("k1", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("k2", F.xxhash64("text"))
+    return rows.withColumn("k1", F.coalesce("doc_id", F.lit(NO_ID))).withColumn("k2", F.hash("text"))
 
 
 def hex_sha256(text: Column) -> Column:
@@ -88,6 +89,21 @@ def batch_from(columns: list, ddl: str) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def slices(batches, text: int, limit: int = 4 << 20):
+    """Slices of batches with about ``limit`` bytes of text in column ``text``, of one row at least; a text is never cut.
+
+    Arrays made for a slice stay small, whatever the batches are. An empty batch gives nothing.
+    """
+    for batch in batches:
+        sizes = np.cumsum(np.asarray(pc.binary_length(batch.column(text)), np.int64))
+        start = 0
+        while start < batch.num_rows:
+            done = sizes[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(sizes, done + limit, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def summed(df: DataFrame, of_batch, shape: tuple[int, ...], groups: int = 16) -> np.ndarray:
     """The sum of ``of_batch(batch)``, arrays of a fixed shape, over all batches of ``df``.
 

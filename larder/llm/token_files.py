@@ -23,8 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.bpe import CHUNK_BYTES, WordStore, byte_letters, pieces_of
-from larder.llm.tables import batch_from, batch_of, checkpointed, plain, width
+from larder.llm.bpe import CHUNK_BYTES, WordStore, byte_letters
+from larder.llm.tables import batch_from, batch_of, checkpointed, plain, slices, width
 from larder.session import run_dir
 
 MAGIC = b"S8BTOK01"
@@ -222,14 +222,13 @@ def write_token_files(docs: DataFrame, path: str, end_id: int, folder: str | Non
             return batch_of([(part, seq, name, len(doc_ids), n, len(data))], MANIFEST)
 
         system.create_dir(root, recursive=True)
-        for batch in batches:
-            for piece in pieces_of(batch, CHUNK_BYTES // 2):
-                ids, counts = store.encode(piece.column(1).to_pylist())
-                held.append((piece.column(0).to_pylist(), counts + 1, with_end(ids, counts, end_id)))
-                n += len(held[-1][2])
-                if n >= shard_ids:
-                    yield flush()
-                    held, n, seq = [], 0, seq + 1
+        for piece in slices(batches, 1, CHUNK_BYTES // 2):
+            ids, counts = store.encode(piece.column(1).to_pylist())
+            held.append((piece.column(0).to_pylist(), counts + 1, with_end(ids, counts, end_id)))
+            n += len(held[-1][2])
+            if n >= shard_ids:
+                yield flush()
+                held, n, seq = [], 0, seq + 1
         if held:
             yield flush()
 
