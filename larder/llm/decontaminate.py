@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.anchors import CELL_BITS, buffer_of, count_cells, mixed, signed, unsigned, words_of_bytes
-from larder.llm.tables import NO_ID, batch_from, batch_of, keyed, plain, written
+from larder.llm.tables import NO_ID, batch_from, batch_of, keyed, plain, slices, written
 
 SEED = 3  # words
 LEAST_SEEDS = 2
@@ -98,7 +98,7 @@ def matches(docs: DataFrame, items: DataFrame, least_score: float, cell_bits: in
     cells = count_cells(seeds_of_items.select("h"), lambda batch: unsigned(batch.column(0)), cell_bits, 1)
 
     def document_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 2):
             h, row, place = seeds(batch.column(2), SEED)
             k = np.flatnonzero(cells.has(h))
             k1, k2 = (np.asarray(batch.column(j))[row[k]] for j in (0, 1))

@@ -34,22 +34,51 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return now.select(F.col("u").alias("v"), F.col("m").alias("c")).union(now.select("m", "m").distinct())
 
 
-def hub_pairs(buckets: DataFrame, fits: Column) -> DataFrame:
-    """Each member of a bucket with the bucket's least member: (a, b, shared), as many pairs as rows.
+def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3) -> DataFrame:
+    """Components (v, c) of all links between members of common buckets; vertices without links are left out.
 
-    ``buckets``: token, v, n, l. ``fits`` compares n with n2. Pairs that share fewer buckets than both ask for are left
-    to ``crossing_pairs``.
+    ``buckets``: token, v, n, l. ``verified(pairs)`` returns the pairs (a, b) that link, ``fits`` compares n with n2. Two
+    members are a candidate if they share as many buckets as the less demanding ``l`` of both.
+
+    Large groups are mostly connected by a few rounds in which each member meets one hub, the one it shares most buckets
+    with. What is left are candidates across components; these are verified all, so no link is lost.
     """
-    hubs = buckets.groupBy("token").agg(F.min(F.struct("v", "n", "l")).alias("hub"))
-    met = buckets.join(hubs, "token").select(F.col("hub.v").alias("a"), F.col("v").alias("b"), "n", F.col("hub.n").alias("n2"), F.least("l", "hub.l").alias("l"))
-    return met.where("a <> b").where(fits).groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("l").alias("l")).where("shared >= l").select("a", "b")
+    known, links = None, None
+    for k in range(rounds):
+        found = checkpointed(verified(hub_pairs(buckets, known, fits, k)))
+        links = found if links is None else links.union(found)
+        known = components(links)
+    return components(links.union(checkpointed(verified(crossing_pairs(buckets, known, fits)))))
 
 
-def crossing_pairs(buckets: DataFrame, known: DataFrame, fits: Column) -> DataFrame:
-    """Pairs of a bucket that ``known`` components (v, c) don't connect yet and that share enough buckets."""
+def _unsettled(buckets: DataFrame, known: DataFrame | None) -> DataFrame:
+    """Buckets with members of several components, each row with its component."""
+    if known is None:
+        return buckets.withColumn("c", F.col("v"))
     placed = buckets.join(known, "v", "left").withColumn("c", F.coalesce("c", "v"))
     mixed = placed.groupBy("token").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).where("c1 <> c2").select("token")
-    left = checkpointed(placed.join(mixed, "token", "left_semi"))
+    return placed.join(mixed, "token", "left_semi")
+
+
+def hub_pairs(buckets: DataFrame, known: DataFrame | None, fits: Column, k: int) -> DataFrame:
+    """(a, b): at most one pair for each member b, with the hub a of another component that shares most buckets.
+
+    A bucket's hub is its least member by a hash that differs from round to round ``k``, or by itself at first.
+    """
+    rows = _unsettled(buckets, known)
+    rank = F.xxhash64("v", F.lit(k)) if k else F.lit(0)
+    hubs = rows.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), "v", "n", "l", "c")).alias("hub"))
+    met = rows.join(hubs, "token").select(
+        F.col("hub.v").alias("a"), F.col("v").alias("b"), "n", F.col("hub.n").alias("n2"), F.least("l", "hub.l").alias("l"), "c", F.col("hub.c").alias("c2")
+    )
+    pairs = met.where("a <> b AND c <> c2").where(fits).groupBy("a", "b").agg(F.count("*").alias("shared"), F.max("l").alias("l"))
+    best = pairs.where("shared >= l").groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best"))
+    return best.select(F.col("best.a").alias("a"), "b")
+
+
+def crossing_pairs(buckets: DataFrame, known: DataFrame, fits: Column) -> DataFrame:
+    """All candidates (a, b) of different components."""
+    left = checkpointed(_unsettled(buckets, known))
     right = left.select("token", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("c").alias("c2"))
     met = left.join(right, "token").where("v < v2 AND c <> c2").where(fits)
     pairs = met.groupBy(F.col("v").alias("a"), F.col("v2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("l", "l2")).alias("l"))

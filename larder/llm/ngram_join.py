@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.anchors import CELL_BITS, Cells, buffer_of, count_cells, mixed, signed, words_of_bytes
-from larder.llm.links import components, crossing_pairs, hub_pairs
-from larder.llm.tables import batch_from, checkpointed, plain, summed, written
+from larder.llm.links import linked_groups
+from larder.llm.tables import batch_from, plain, slices, summed, written
 
 SHINGLE = 4
 PERCENT = 85
@@ -95,7 +95,7 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     texts = rows.select("doc_id", "text")
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             sets = shingle_sets(batch.column(1), shingle)
             marks = [digest(s) for s in sets]
             yield batch_from([batch.column(0), [len(s) for s in sets], [x for x, _ in marks], [y for _, y in marks]], SETS)
@@ -104,8 +104,11 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     known = texts.where("doc_id IS NOT NULL")
 
     def counted(batch):
-        cells = [(s >> U(64 - sketch_bits)).astype(np.int64) for s in shingle_sets(batch.column(1), shingle)]
-        return np.bincount(np.concatenate(cells), minlength=1 << sketch_bits) if cells else 0
+        total = np.zeros(1 << sketch_bits, np.int64)
+        for part in slices([batch], 1):
+            for s in shingle_sets(part.column(1), shingle):
+                np.add.at(total, (s >> U(64 - sketch_bits)).astype(np.int64), 1)
+        return total
 
     order = Order(summed(known, counted, (1 << sketch_bits,)).astype(np.float32), percent)
 
@@ -114,18 +117,13 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
         return found, [order.prefix(s) if len(s) else (s, 0) for s in found]
 
     def all_tokens(batch):
-        return np.concatenate([np.zeros(0, U), *(p for p, _ in prefixes(batch)[1])])
+        return np.concatenate([np.zeros(0, U), *(p for part in slices([batch], 1) for p, _ in prefixes(part)[1])])
 
     buckets = written(_buckets(known, prefixes, count_cells(known, all_tokens, cell_bits)), "ngram-buckets")
     wanted = buckets.select(F.col("v").alias("doc_id")).distinct()
     members = written(known.join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "ngram-texts")
     fits = (100 * F.least("n", "n2")) >= (percent * F.greatest("n", "n2"))
-    near = hub_pairs(buckets, fits)
-    links = checkpointed(_verified(near, members, shingle, percent))
-    first = components(links)
-    rest = crossing_pairs(buckets, first, fits)
-    more = _verified(rest, members, shingle, percent)
-    groups = components(links.union(checkpointed(more)))
+    groups = linked_groups(buckets, fits, lambda pairs: _verified(pairs, members, shingle, percent))
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("v"))
     named = classes.join(groups, "v", "left").select("d1", "d2", F.coalesce("c", "v").alias("c"))
     return sets.join(named, ["d1", "d2"], "left").select(
@@ -139,10 +137,10 @@ def _buckets(known: DataFrame, prefixes, cells: Cells) -> DataFrame:
     """(token, v, n, l): prefix members that several different sets have. Equal sets go by their least id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1):
             ids = np.asarray(batch.column(0), np.int64)
             sets, chosen = prefixes(batch)
-            kept = [p[cells.repeated(p)] for p, _ in chosen]
+            kept = [p[cells.has(p)] for p, _ in chosen]
             count = np.array([len(p) for p in kept], np.int64)
             marks = np.array([digest(s)[0] for s in sets], np.int64)
             size, least = np.array([len(s) for s in sets], np.int64), np.array([l for _, l in chosen], np.int64)
@@ -160,7 +158,7 @@ def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int)
     """The pairs that link, by their whole sets. Texts of the side with fewer pairs for each travel first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 3):
             one, two = (shingle_sets(batch.column(k), shingle) for k in (2, 3))
             good = []
             for s, t in zip(one, two):
