@@ -214,6 +214,12 @@ class Cells:
     marked: np.ndarray  # packed bits
     often: np.ndarray  # sorted cells
 
+    def __getstate__(self):
+        return self.bits, zlib.compress(self.marked.tobytes(), 1), self.often
+
+    def __setstate__(self, state):
+        self.bits, self.marked, self.often = state[0], np.frombuffer(zlib.decompress(state[1]), np.uint8), state[2]
+
     def has(self, key: np.ndarray) -> np.ndarray:
         cell = cell_of(key, self.bits)
         return (self.marked[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & 1 == 1
@@ -225,10 +231,23 @@ class Cells:
         return self.often[np.minimum(np.searchsorted(self.often, cell), len(self.often) - 1)] == cell
 
 
+class SentCells:
+    """Cells as a broadcast variable: each executor gets them once, however many steps ask."""
+
+    def __init__(self, context, cells: Cells):
+        self.sent, self.any_often = context.broadcast(cells), len(cells.often) > 0
+
+    def has(self, key: np.ndarray) -> np.ndarray:
+        return self.sent.value.has(key)
+
+    def has_often(self, key: np.ndarray) -> np.ndarray:
+        return self.sent.value.has_often(key)
+
+
 MOST = 65_535
 
 
-def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, least: int = 2, often: int = MOST) -> Cells:
+def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, least: int = 2, often: int = MOST) -> SentCells:
     """Marks the cells, of 2**bits, that ``keys_of(batch)`` names at least ``least`` times over all batches.
 
     Those named more than ``often`` times, at most ``MOST``, are listed. What the driver gets and sends out has a fixed
@@ -271,7 +290,8 @@ def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, least: int = 2,
     for r in spread.mapInArrow(across, "block int, bits binary, often array<bigint>").collect():
         marked[r.block * size : (r.block + 1) * size] = np.frombuffer(r.bits, np.uint8)
         many += r.often
-    return Cells(bits, marked, np.sort(np.array(many, np.int64)))
+    cells = Cells(bits, marked, np.sort(np.array(many, np.int64)))
+    return SentCells(rows.sparkSession.sparkContext, cells)
 
 
 def signed(x: np.ndarray) -> np.ndarray:
@@ -319,7 +339,7 @@ def repeats(texts: DataFrame, segments_of, cell_bits: int, hot: int) -> Repeats:
     spark = texts.sparkSession
     cells = count_cells(texts, lambda batch: np.concatenate([np.zeros(0, U), *(x.key for x, *_ in _parts(batch, segments_of))]), cell_bits)
 
-    def find(*marked: Cells):
+    def find(*marked: SentCells):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for s, _, k1, k2 in _parts(batch, segments_of):
@@ -367,7 +387,7 @@ def repeats(texts: DataFrame, segments_of, cell_bits: int, hot: int) -> Repeats:
     )
     # What passed the first bitmap only by chance is not moved again: a class that is alone and occurs once.
     real = count_cells(chosen(shared.has).select("h").union(alone.select("h")), key, cell_bits, 1)
-    often = chosen(shared.has_often) if len(shared.often) else None
+    often = chosen(shared.has_often) if shared.any_often else None
     return Repeats(texts.mapInArrow(find(cells, real), PLACES), alone, contents.union(counts).repartition(width(spark), "h"), often)
 
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.anchors import CELL_BITS, Cells, buffer_of, count_cells, mixed, signed, words_of_bytes
+from larder.llm.anchors import CELL_BITS, SentCells, buffer_of, count_cells, mixed, signed, words_of_bytes
 from larder.llm.links import linked_groups
 from larder.llm.tables import batch_from, plain, slices, summed, written
 
@@ -133,7 +133,7 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     )
 
 
-def _buckets(known: DataFrame, prefixes, cells: Cells) -> DataFrame:
+def _buckets(known: DataFrame, prefixes, cells: SentCells) -> DataFrame:
     """(token, v, n, l): prefix members that several different sets have. Equal sets go by their least id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
