@@ -1,7 +1,7 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then local alignment.
+"""Benchmark passages in training documents: n-gram seeds, then local alignment.
 
-Seeds of the test items mark a bitmap of fixed size; only document positions that pass it are joined with the items. Of
-each item the rarer half of its seeds counts, by their frequency in all documents. Where a document and an item share
+Seeds of the test items mark a bitmap of fixed size; only document positions that pass it are joined with the items. All
+seeds of an item count, however frequent: copies make an item's own seeds frequent. Where a document and an item share
 enough seeds, the words around them are aligned.
 """
 
@@ -105,9 +105,8 @@ def matches(docs: DataFrame, items: DataFrame, least_score: float, cell_bits: in
             yield batch_from([signed(h[k]), k1, k2, place[k]], HITS)
 
     hits = written(texts.mapInArrow(document_seeds, HITS), "seed-hits")
-    rare = written(_rarer_half(seeds_of_items, hits), "rare-seeds")
     pairs = (
-        hits.join(rare, "h")
+        hits.join(seeds_of_items, "h")
         .groupBy("k1", "k2", "item_id")
         .agg(F.countDistinct("h").alias("seeds"), F.collect_set(F.col("place") - F.col("item_place")).alias("starts"))
         .where(F.col("seeds") >= LEAST_SEEDS)
@@ -129,14 +128,6 @@ def matches(docs: DataFrame, items: DataFrame, least_score: float, cell_bits: in
     return met.select("k1", "k2", "doc_id", "item_id", "item", "document", "starts").mapInArrow(score, MATCHES)
 
 
-def _rarer_half(of_items: DataFrame, hits: DataFrame) -> DataFrame:
-    """(h, item_id, item_place): of each item the seeds not above its median frequency in the documents."""
-    frequency = hits.groupBy("h").agg(F.count("*").alias("df"))
-    counted = of_items.join(frequency, "h")
-    middle = counted.groupBy("item_id").agg(F.percentile_approx("df", 0.5).alias("middle"))
-    return counted.join(middle, "item_id").where("df <= middle").select("h", "item_id", "item_place")
-
-
 def _best(item: list[str], document: list[str], starts: list[int]) -> tuple[float, int, int] | None:
     """The best alignment near any of the places where the item would begin by a seed."""
     number = {w: k for k, w in enumerate(dict.fromkeys(item))}

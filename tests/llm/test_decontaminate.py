@@ -1,0 +1,54 @@
+import random
+
+from larder.llm.decontaminate import contaminations
+
+
+def brute_align(a, b):
+    best, rows = 0, [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(max(0, rows[j] + (2 if x == y else -1), rows[j + 1] - 1, new[j] - 1))
+            best = max(best, new[-1])
+        rows = new
+    return best
+
+
+def brute(rows, items):
+    """(doc_id, item_id, score) with all documents aligned with all items."""
+    out = set()
+    for d, text in rows:
+        for k, item in items:
+            score = brute_align(item.split(), text.split()) / (2 * len(item.split()))
+            if score >= 0.6:
+                out.add((d, k, round(score, 9)))
+    return out
+
+
+def edited(words, n, new):
+    """``words`` with ``n`` of them replaced, evenly spread."""
+    out = list(words)
+    for k in range(n):
+        out[(2 * k + 1) * len(words) // (2 * n)] = new()
+    return out
+
+
+def found_of(spark, rows, items):
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id, round(r.score, 9)) for r in contaminations(docs, tests, cell_bits=18).collect()}
+
+
+def test_edited_copies_beside_verbatim_ones(spark):
+    pick = random.Random(5)
+    word = lambda: "".join(pick.choice("abcdefghi") for _ in range(6))
+    filler = lambda: " ".join(word() for _ in range(15))
+    rows, items, edits = [], [], 0
+    for k, (length, replaced, copies) in enumerate([(38, 6, 1), (38, 8, 5), (20, 3, 1), (38, 6, 0), (16, 4, 2)]):
+        words = [word() for _ in range(length)]
+        items.append((k, " ".join(words)))
+        texts = [words] * copies + [edited(words, replaced, word), edited(words, length // 2, word)]
+        rows += [(10 * k + j, f"{filler()} {' '.join(t)} {filler()}") for j, t in enumerate(texts)]
+    want = brute(rows, items)
+    assert len(want) == 9 + 5  # every copy and every edited copy, none with half of its words replaced
+    assert found_of(spark, rows, items) == want
