@@ -19,6 +19,7 @@ from larder.llm.tables import NO_ID, batch_from, batch_of, keyed, plain, slices,
 
 SEED = 3  # words
 LEAST_SEEDS = 2
+FEW_SEEDS = 3  # items with so many at most need one: of five words, three in a row score 0.6
 SCORE = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
 U = np.uint64
@@ -69,6 +70,7 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     return best, low, high
 
 
+ITEM_SEEDS = "h bigint, item_id bigint, item_place int, least int"
 HITS = "h bigint, k1 bigint, k2 int, place int"
 MATCHES = "k1 bigint, k2 int, doc_id bigint, item_id bigint, score double, first_word int, last_word int"
 
@@ -77,8 +79,10 @@ def contaminations(docs: DataFrame, items: DataFrame, least_score: float = SCORE
     """doc_id, item_id, score, first_word, last_word: the best alignment of each item with each document that has it.
 
     ``items``: item_id, text. Words are runs of letters and digits in lower case; ``score`` is the alignment's share of
-    what the whole item would score, and at least ``least_score``. Items of fewer than three words have no seeds and match
-    nothing, like null and empty texts. A null doc_id comes back as null. Rows that repeat give equal rows once.
+    what the whole item would score, and at least ``least_score``. Only documents with two different trigrams of the item
+    are aligned, or one if the item has three at most; edits that leave fewer hide a copy. Items of fewer than three words
+    have no seeds and match nothing, like null and empty texts. A null doc_id comes back as null. Rows that repeat give
+    equal rows once.
     """
     return matches(docs, items, least_score, cell_bits).drop("k1", "k2").distinct()
 
@@ -92,9 +96,11 @@ def matches(docs: DataFrame, items: DataFrame, least_score: float, cell_bits: in
     def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h, row, place = seeds(batch.column(1), SEED)
-            yield batch_from([signed(h), np.asarray(batch.column(0))[row], place], "h bigint, item_id bigint, item_place int")
+            different = np.bincount(np.unique(np.stack([row.astype(U), h]), axis=1)[0].astype(np.int64), minlength=batch.num_rows)
+            least = np.where(different <= FEW_SEEDS, 1, LEAST_SEEDS)
+            yield batch_from([signed(h), np.asarray(batch.column(0))[row], place, least[row]], ITEM_SEEDS)
 
-    seeds_of_items = written(tests.mapInArrow(item_seeds, "h bigint, item_id bigint, item_place int"), "item-seeds")
+    seeds_of_items = written(tests.mapInArrow(item_seeds, ITEM_SEEDS), "item-seeds")
     cells = count_cells(seeds_of_items.select("h"), lambda batch: unsigned(batch.column(0)), cell_bits, 1)
 
     def document_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,10 +114,10 @@ def matches(docs: DataFrame, items: DataFrame, least_score: float, cell_bits: in
     pairs = (
         hits.join(seeds_of_items, "h")
         .groupBy("k1", "k2", "item_id")
-        .agg(F.countDistinct("h").alias("seeds"), F.collect_set(F.col("place") - F.col("item_place")).alias("starts"))
-        .where(F.col("seeds") >= LEAST_SEEDS)
+        .agg(F.countDistinct("h").alias("seeds"), F.min("least").alias("least"), F.collect_set(F.col("place") - F.col("item_place")).alias("starts"))
+        .where("seeds >= least")
     )
-    pairs = written(pairs.drop("seeds"), "seed-pairs")
+    pairs = written(pairs.drop("seeds", "least"), "seed-pairs")
     wanted = pairs.select("k1", "k2").distinct()
     passages = rows.join(wanted, ["k1", "k2"], "left_semi").select("k1", "k2", "doc_id", F.col("text").alias("document"))
     met = pairs.join(passages, ["k1", "k2"]).join(tests.withColumnRenamed("text", "item"), "item_id")

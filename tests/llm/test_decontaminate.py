@@ -52,3 +52,23 @@ def test_edited_copies_beside_verbatim_ones(spark):
     want = brute(rows, items)
     assert len(want) == 9 + 5  # every copy and every edited copy, none with half of its words replaced
     assert found_of(spark, rows, items) == want
+
+
+def test_short_items(spark):
+    pick = random.Random(6)
+    word = lambda: "".join(pick.choice("abcdefghi") for _ in range(6))
+    filler = lambda: " ".join(word() for _ in range(15))
+    words = [[word() for _ in range(n)] for n in (3, 4, 4, 5)]
+    words[2][1:] = [words[2][0]] * 3  # one different seed
+    items = [(k, " ".join(w)) for k, w in enumerate(words)]
+    texts = [*words, words[1], words[1][1:], words[3][:3], words[3][1:], words[0][:2]]
+    rows = [(k, f"{filler()} {' '.join(t)} {filler()}") for k, t in enumerate(texts)]
+    rows += [(20, " ".join(words[0])), (21, " ".join(words[3][:2] + [word()] + words[3][3:]))]
+    want = {x for x in brute(rows, items) if x[0] not in (8, 21)}  # these two have no three words in a row
+    assert {(k, k, 1.0) for k in range(4)} <= want
+    assert found_of(spark, rows, items) == want
+
+
+def test_short_text_beside_long_one_of_an_item(spark):
+    items = [(1, "alpha beta gamma"), (1, "one two three four five six seven eight nine ten eleven twelve"), (2, "a b"), (3, None)]
+    assert found_of(spark, [(1, "and alpha beta gamma ends"), (2, "a b"), (3, "")], items) == {(1, 1, 1.0)}
