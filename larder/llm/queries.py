@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from larder.llm import clusters, vector_codes
 from larder.llm.bpe import bpe_round_trip
 from larder.llm.decontaminate import contaminations
 from larder.llm.exact_dedup import exact_dedup
@@ -18,6 +19,7 @@ from larder.llm.quality import quality_scores
 from larder.llm.suffix_dedup import remove_repeats
 from larder.llm.tables import documents
 from larder.llm.token_files import token_file_digests
+from larder.llm.vector_sql import clusters_sql, codes_sql
 
 TOKENIZERS = os.environ.get("LARDER_TOKENIZERS", "/opt/tokenizers")
 END_ID = 2
@@ -96,3 +98,18 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_decontaminate")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+# The SQL cuts vectors of the tables' own 64 components.
+@query("op11_vector_codes", codes_sql(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE, 64))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.code_digests(embeddings(spark, sf_dir))
+
+
+@query("op12_clusters", clusters_sql(clusters.CLUSTERS, clusters.ROUNDS, clusters.SCALE, clusters.DIMENSIONS, clusters.SEED))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.cluster_digests(embeddings(spark, sf_dir))
