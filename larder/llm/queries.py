@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import clusters, vector_codes
+from larder.llm import clusters, mixture, vector_codes
 from larder.llm.bpe import bpe_round_trip
 from larder.llm.decontaminate import contaminations
 from larder.llm.exact_dedup import exact_dedup
@@ -113,3 +113,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_clusters", clusters_sql(clusters.CLUSTERS, clusters.ROUNDS, clusters.SCALE, clusters.DIMENSIONS, clusters.SEED))
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_digests(embeddings(spark, sf_dir))
+
+
+@query("op13_mixture", mixture.SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.mixture(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")

@@ -104,9 +104,10 @@ def fit_codebooks(rows: DataFrame, length: int, parts: int = PARTS, entries: int
     codebooks. Sums are exact whatever the number of rows.
     """
     wide = length // parts
-    start = np.array(_first(rows, entries), np.int64).reshape(-1, parts, wide)
+    first = _first(rows, entries)
+    start = np.array(first, np.int64).reshape(len(first), parts, wide)
     books = Codebooks(np.ascontiguousarray(start.transpose(1, 0, 2)))
-    for _ in range(rounds if len(start) else 0):
+    for _ in range(rounds if first else 0):
         books = _next(rows.select("v"), books)
     return books
 
