@@ -42,6 +42,8 @@ class Entity:
     derive: Callable[[DataFrame], DataFrame] | None = None
     derived: tuple[str, ...] = ()
     dimension: Dimension | None = None
+    # Key columns that decide where a row is stored; the whole key if not given.
+    spread_by: tuple[str, ...] | None = None
 
     @property
     def file_columns(self) -> list[str]:
@@ -268,6 +270,7 @@ DELIVERY = Entity(
     ),
     keys=("delivery_id", "order_id_fk", "delivery_agent_id_fk"),
     modified="modified_date",
+    spread_by=("order_id_fk",),
 )
 
 ORDERS = Entity(
@@ -302,6 +305,7 @@ ORDER_ITEM = Entity(
     ),
     keys=("order_item_id", "order_id_fk", "menu_id_fk"),
     modified="modified_dt",
+    spread_by=("order_id_fk",),
 )
 
 ENTITIES = {
