@@ -6,7 +6,9 @@ import pytest
 from pyspark.errors import PySparkException
 
 from larder.functions import casts
-from larder.sources.csv_stage import content_keys, export_csv, load_abort_on_error, read_stage_csv, with_audit, with_file
+from larder.sources.csv_stage import (
+    content_keys, export_csv, keys_of_files, load_abort_on_error, read_stage_csv, resplit, with_audit, with_file,
+)
 from larder.sources.manifest import copy_history, history_from_stage, incremental_load, list_files, read_manifest, read_stage
 
 NOW = dt.datetime(2024, 5, 1, 12)
@@ -140,3 +142,38 @@ def test_export(spark, tmp_path):
     export_csv(df, path, single_file=True)
     back = spark.read.option("header", "true").option("escape", '"').csv(path).orderBy("id").collect()
     assert back == [("1", 'say "hi", you'), ("2", None)]
+
+
+def digests(spark, folder):
+    rows = with_file(spark.read.schema("v string").text(str(folder)))
+    return {r["_stg_file_path"].rsplit("/", 1)[1]: r["_stg_file_md5"] for r in keys_of_files(rows).collect()}
+
+
+def test_file_keys_stand_for_bytes_in_order(spark, tmp_path):
+    lines = [f"{k},name {k % 7}" for k in range(2000)]
+    text = "h1,h2\n" + "\n".join(lines) + "\n"
+    texts = {
+        "a.csv": text, "copy.csv": text, "other order.csv": "h1,h2\n" + "\n".join(reversed(lines)) + "\n",
+        "two swapped.csv": text.replace("5,name 5\n6,name 6\n", "6,name 6\n5,name 5\n", 1), "no end.csv": text[:-1],
+        "crlf.csv": text.replace("\n", "\r\n"), "glob [1]{x}*.csv": text + "1\n", "header.csv": "h1,h2\n", "empty.csv": "",
+    }
+    for name, content in texts.items():
+        (tmp_path / name).write_bytes(content.encode())
+    (tmp_path / "bytes.csv").write_bytes(b"h\n\xff\xfe\n")
+    (tmp_path / "other bytes.csv").write_bytes(b"h\n\xfe\xff\n")
+    whole = digests(spark, tmp_path)
+    assert len(whole) == len(texts) + 1 and len(set(whole.values())) == len(whole) - 1
+    assert whole["a.csv"] == whole["copy.csv"]
+    os.utime(tmp_path / "a.csv", (1, 1))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000b")  # a dozen ranges for each file
+    try:
+        assert digests(spark, tmp_path) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_other_delimiters_are_cut_anew(spark, tmp_path):
+    put(tmp_path / "in", "a.csv", 'h1|h2|h3\n1|"a|b"|\\N\n2|c, d|e\n3|x\n')
+    got = resplit(read_stage_csv(spark, str(tmp_path / "in"), ["a", "b", "c"]), ["a", "b", "c"], "|")
+    assert sorted(map(tuple, got.collect()), key=str) == [("1", "a|b", None), ("2", "c, d", "e"), ("3", "x", None)]

@@ -9,6 +9,7 @@ from pyspark.errors import StreamingQueryException
 from larder import schemas
 from larder.functions.masking import mask_tagged, tagged_columns
 from larder.plans.clean import empty_clean, latest_rows
+from larder.sources.csv_stage import resplit
 from larder.streaming import loader as loader_module
 from larder.streaming.loader import EntityLoader
 
@@ -272,3 +273,35 @@ def test_every_entity_has_a_clean_schema(spark):
         assert latest_rows(df, entity).columns == df.columns
         if entity.dimension:
             assert set(entity.dimension.attrs) <= set(df.columns)
+
+
+def test_quarantined_rows_come_back_once(spark, tmp_path, monkeypatch):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    right = [LOC.format(k, "Agra", "Goa", k, 1) for k in (1, 2, 3)]
+    s.deliver("a.csv", *[line.replace(",", "|") for line in right], LOC.format(4, "Pune", "Goa", 4, 1), "9|too|short")
+    s.deliver("b.csv", LOC.format(2, "Delhi", "Goa", 2, 1))  # loaded later than the row that waits
+    position = s.loader.store.state()
+    again = lambda rows: resplit(rows, s.entity.file_columns, "|").where("city <> 'too'")
+    real = s.loader.store.commit
+    with monkeypatch.context() as patch:
+        patch.setattr(s.loader.store, "commit", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            s.loader.replay(again)
+    assert s.loader.waiting().count() == 4 and real == s.loader.store.commit
+    assert s.loader.replay(again)
+    want = [(1, "Agra"), (2, "Delhi"), (3, "Agra"), (4, "Pune")]
+    assert s.clean("location_id", "city") == want
+    state = s.loader.store.state()
+    assert (state["source"], state["batch"]) == (position["source"], position["batch"])
+    assert not s.loader.replay(again) and s.loader.store.state() == state
+    s.deliver("c.csv", LOC.format(5, "Goa", "Goa", 5, 1))  # the stream goes on where it was
+    assert s.clean("location_id", "city") == [*want, (5, "Goa")]
+    assert s.loader.quarantined().count() == 4 and s.loader.stage().count() == 7
+
+
+def test_rows_that_stay_unusable_wait_again(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    assert not s.loader.replay(lambda rows: rows)
+    s.deliver("a.csv", "9|City")
+    assert s.loader.replay(lambda rows: rows)
+    assert s.loader.waiting().count() == 1 and s.clean("location_id") == []
