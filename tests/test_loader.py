@@ -5,13 +5,16 @@ from decimal import Decimal
 
 import pytest
 from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.functions.masking import mask_tagged, tagged_columns
+from larder.operators.scd2 import scd2_history
 from larder.plans.clean import empty_clean, latest_rows
 from larder.sources.csv_stage import resplit
 from larder.streaming import loader as loader_module
 from larder.streaming.loader import EntityLoader
+from larder.streaming.progress import ProgressLog
 
 DAY = [dt.datetime(2024, 6, d) for d in range(1, 10)]
 
@@ -305,3 +308,40 @@ def test_rows_that_stay_unusable_wait_again(spark, tmp_path):
     s.deliver("a.csv", "9|City")
     assert s.loader.replay(lambda rows: rows)
     assert s.loader.waiting().count() == 1 and s.clean("location_id") == []
+
+
+def test_batches_are_counted_as_they_pass(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    with ProgressLog(spark, str(tmp_path / "progress")) as log:
+        s.deliver("a.csv", LOC.format(1, "Agra", "Goa", 1, 1), LOC.format(1, "Pune", "Goa", 1, 2), "9|City", LOC.format(2, "Goa", "Goa", 2, 1))
+        s.deliver("b.csv", LOC.format(2, "Delhi", "Goa", 2, 1))
+    assert log.failed == []
+    manifest = s.loader.manifest().groupBy("batch").agg(F.sum("row_count").alias("n"))
+    want = sorted(map(tuple, manifest.collect()))
+    assert want == [(0, 4), (1, 1)]
+    assert sorted((r.batch, r.n) for r in log.counts("location_arrived").collect()) == want
+    assert sorted((r.batch, r.staged, r.quarantined, r.merged) for r in s.loader.metrics().collect()) == [(0, 4, 1, 2), (1, 1, 0, 1)]
+
+
+def test_closed_versions_are_written_once(spark, tmp_path):
+    s = Stage(spark, tmp_path, schemas.LOCATION)
+    root = tmp_path / "tables" / "location"
+
+    def closed():
+        return {p.relative_to(root): p.stat().st_mtime_ns for p in (root / "closed").rglob("*.parquet")}
+
+    before = {}
+    for day, city in enumerate(("Agra", "Pune", "Goa"), 1):
+        s.deliver(f"{day}.csv", *[LOC.format(k, city, "Goa", k, day) for k in range(1, 30)], LOC.format(99, "Same", "Goa", 1, 1))
+        assert before.items() <= closed().items()
+        before = closed()
+    assert [len(spark.read.parquet(str(root / "closed" / f"batch={b}")).collect()) for b in range(3)] == [0, 29, 29]
+    live = s.loader.store.state()["tables"]["dimension"]
+    now = spark.read.parquet(*[str(root / "dimension" / f"v={v}" / f"_bucket={b}") for b, v in live.items()])
+    assert now.count() == 30 and now.where("NOT current_flag").count() == 0
+    log = [(k, c, "Goa", DAY[d], d) for d, c in enumerate(("Agra", "Pune", "Goa")) for k in range(1, 30)] + [(99, "Same", "Goa", DAY[d], d) for d in range(3)]
+    replayed = scd2_history(spark.createDataFrame(log, "location_id long, city string, state string, ts timestamp_ntz, seq int"), ["location_id"], ["city", "state"], "ts", "seq")
+    columns = ["location_id", "city", "state"]
+    want = replayed.select(*columns, "eff_start_date", "eff_end_date", "is_current")
+    got = s.loader.dimension().select(*columns, "eff_start_dt", "eff_end_dt", "current_flag")
+    assert sorted(map(str, got.collect())) == sorted(str(r).replace("eff_start_date", "eff_start_dt").replace("eff_end_date", "eff_end_dt").replace("is_current", "current_flag") for r in want.collect())
