@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.scd2 import Dimension
+from larder.operators.scd2 import FIRST, Dimension
 
 
 def lookup(
@@ -42,14 +42,14 @@ def lookup(
     return facts.join(picked, on, "left").drop("_k", "_from", "_to")
 
 
-FIRST = "_first_version"
-
-
 def lasting(table: DataFrame, dim: Dimension) -> DataFrame:
     """The versions that were valid at some time, those that begin a key's history marked in ``FIRST``.
 
-    Two changes at one moment leave a version that ends where it starts.
+    Two changes at one moment leave a version that ends where it starts. A table that carries the mark is only filtered;
+    others are sorted per key to find it.
     """
+    if FIRST in table.columns:
+        return table.where(F.col(dim.end).isNull() | (F.col(dim.start) < F.col(dim.end)))
     history = Window.partitionBy(*dim.keys).orderBy(F.col(dim.start), F.col(dim.hash_key))
     valid = table.where(F.col(dim.end).isNull() | (F.col(dim.start) < F.col(dim.end)))
     return valid.withColumn(FIRST, F.row_number().over(history) == 1)

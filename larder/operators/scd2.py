@@ -18,6 +18,11 @@ from larder.functions.keys import hash_key
 from larder.operators.change_set import ACTION, DELETE, INSERT, IS_UPDATE
 
 
+# Optional column of a dimension: whether a version is the first of its key that lasts. Kept by ``apply_rows`` where a table
+# has it, so that dated lookups need not look at the other versions of a key.
+FIRST = "_first_version"
+
+
 @dataclass(frozen=True)
 class Dimension:
     """Column roles of a versioned dimension."""
@@ -36,8 +41,12 @@ class Dimension:
     def columns(self) -> list[str]:
         return [self.hash_key, *self.keys, *self.attrs, self.start, self.end, self.current]
 
-    def empty_like(self, snapshot: DataFrame) -> DataFrame:
-        """A dimension without rows, typed after the snapshot that will feed it."""
+    def columns_of(self, table: DataFrame) -> list[str]:
+        """The columns of a dimension table, the mark of first versions included if it has one."""
+        return [*self.columns, *([FIRST] if FIRST in table.columns else [])]
+
+    def empty_like(self, snapshot: DataFrame, marked: bool = False) -> DataFrame:
+        """A dimension without rows, typed after the snapshot that will feed it; ``marked`` adds ``FIRST``."""
         src = {f.name: f for f in snapshot.schema.fields}
         ts = T.TimestampNTZType()
         fields = [
@@ -46,12 +55,13 @@ class Dimension:
             T.StructField(self.start, ts),
             T.StructField(self.end, ts),
             T.StructField(self.current, T.BooleanType()),
+            *([T.StructField(FIRST, T.BooleanType())] if marked else []),
         ]
         return snapshot.sparkSession.createDataFrame([], T.StructType(fields))
 
 
-def open_versions(rows: DataFrame, dim: Dimension, ts: datetime | Column) -> DataFrame:
-    """One open version per row, starting at ``ts``."""
+def open_versions(rows: DataFrame, dim: Dimension, ts: datetime | Column, marked: bool = False) -> DataFrame:
+    """One open version per row, starting at ``ts``; ``marked`` as the first of its key."""
     start = moment(ts)
     return rows.select(
         hash_key(*dim.keys, *dim.attrs, start).alias(dim.hash_key),
@@ -60,6 +70,7 @@ def open_versions(rows: DataFrame, dim: Dimension, ts: datetime | Column) -> Dat
         start.alias(dim.start),
         F.lit(None).cast("timestamp_ntz").alias(dim.end),
         F.lit(True).alias(dim.current),
+        *([F.lit(True).alias(FIRST)] if marked else []),
     )
 
 
@@ -93,12 +104,13 @@ def apply_rows(table: DataFrame, rows: DataFrame, dim: Dimension, ts: datetime |
     a set of changes; rows equal to the current version change nothing, so the
     state need not be compared with its predecessor first.
     """
-    body = [c for c in dim.columns if c not in dim.keys]
+    columns, marked = dim.columns_of(table), FIRST in table.columns
+    body = [c for c in columns if c not in dim.keys]
     types = {f.name: f.dataType for f in table.schema.fields}
     typed = rows.selectExpr(
         *[f"CAST({quoted(c)} AS {types[c].simpleString()}) AS {quoted(c)}" for c in (*dim.keys, *dim.attrs)]
     )
-    fresh = open_versions(typed, dim, ts).select(*dim.keys, pack(body).alias("_new"))
+    fresh = open_versions(typed, dim, ts, marked).select(*dim.keys, pack(body).alias("_new"))
     current = table.where(F.col(dim.current)).select(*dim.keys, pack(body).alias("_cur"))
     history = table.where(~F.coalesce(F.col(dim.current), F.lit(False)))
 
@@ -108,14 +120,17 @@ def apply_rows(table: DataFrame, rows: DataFrame, dim: Dimension, ts: datetime |
     cur_after = ", ".join(
         f"IF(_opens, {closing[c]}, _cur.{quoted(c)}) AS {quoted(c)}" if c in closing else f"_cur.{quoted(c)}" for c in body
     )
-    both = f"array(CASE WHEN _cur IS NOT NULL THEN struct({cur_after}) END, CASE WHEN _opens THEN _new END)"
+    # A version that ends where it starts never lasts; the next one is the first then.
+    first = f"_cur IS NULL OR (_cur.{quoted(FIRST)} AND _cur.{quoted(dim.start)} >= _at)"
+    new_after = ", ".join(f"{first} AS {quoted(c)}" if c == FIRST else f"_new.{quoted(c)}" for c in body)
+    both = f"array(CASE WHEN _cur IS NOT NULL THEN struct({cur_after}) END, CASE WHEN _opens THEN struct({new_after}) END)"
     live = (
         current.join(fresh, list(dim.keys), "full_outer")
         .withColumns({"_opens": opens, "_at": moment(ts)})
         .select(*dim.keys, F.expr(f"inline(array_compact({both}))"))
-        .select(*dim.columns)
+        .select(*columns)
     )
-    return _keep_metadata(history.select(*dim.columns).unionByName(live), table)
+    return _keep_metadata(history.select(*columns).unionByName(live), table)
 
 
 def _apply_literal(table: DataFrame, changes: DataFrame, dim: Dimension, ts) -> DataFrame:

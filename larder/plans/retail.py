@@ -149,7 +149,7 @@ class Retail:
         dim = self.role(entity)
         first = self.snapshot(entity, second=False, late_rows=late_rows)
         second = self.snapshot(entity, second=True)
-        table = open_versions(first, dim, FIRST_LOAD)
+        table = open_versions(first, dim, FIRST_LOAD, marked=True)
         if late_rows:
             return apply_scd2(table, change_set(first, second, dim.keys, compare=dim.attrs), dim, SECOND_LOAD)
         return apply_rows(table, second, dim, SECOND_LOAD)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from larder.operators.change_set import change_set
 from larder.operators.dedupe import latest_per_key
 from larder.operators.merge import insert_select, merge_upsert
-from larder.operators.scd2 import current_rows
+from larder.operators.scd2 import FIRST, current_rows
 from larder.operators.surrogate import surrogate_key
 from larder.plans import fact as fact_plan
 from larder.plans.fact import changed_lines_with_orders
@@ -214,7 +214,7 @@ def _dim_sql(entity: str, text: str | None = None) -> str:
 
 
 def _dim(entity: str):
-    return lambda r: r.dimension(entity, late_rows=True)
+    return lambda r: r.dimension(entity, late_rows=True).drop(FIRST)
 
 
 for _name, _entity in {
@@ -228,7 +228,7 @@ for _name, _entity in {
     query(_name, _dim_sql(_entity))(_dim(_entity))
 
 query("scd2_current", f"{_dim_sql('customer')} WHERE is_current")(
-    lambda r: current_rows(r.dimension("customer", late_rows=True), r.role("customer"))
+    lambda r: current_rows(_dim("customer")(r), r.role("customer"))
 )
 
 query("scd2_as_written", _dim_sql("location", S.as_written("location")))(lambda r: r.as_written("location"))

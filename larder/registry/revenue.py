@@ -43,6 +43,23 @@ query(
 )(lambda r: marts.max_order_total(r.revenue_fact(), r.dates(), ["year"]))
 
 
+def _one_of_all(name: str, mart_sql: str, *by: str) -> str:
+    """A mart in the columns of ``all_marts``."""
+    groups = ", ".join(c if c in by else f"CAST(NULL AS {'VARCHAR' if 'name' in c or 'status' in c else 'INTEGER'}) AS {c}" for c in marts.GROUP_COLUMNS)
+    return f"SELECT '{name}' AS mart, {groups}, {', '.join(marts.MEASURES)} FROM ({mart_sql})"
+
+
+ALL_MARTS = (
+    S.YEARLY, S.MONTHLY, S.kpis("year, month, day_of_the_month AS day", S.DELIVERED), S.kpis("year, month, day_name"), S.BY_RESTAURANT,
+)
+
+
+@query("all_marts", " UNION ALL ".join(_one_of_all(n, t, *by) for n, t, (by, _) in zip(marts.VIEW_NAMES, ALL_MARTS, marts.MART_GROUPS)))
+def all_marts(r: Retail) -> DataFrame:
+    """The five marts from one scan of the fact."""
+    return marts.all_marts(r.revenue_fact(restaurants=True), r.dates(), r.dimension("restaurant"))
+
+
 @query(
     "agg_basic",
     """SELECT l_returnflag, l_linestatus, count(*) AS n_rows, count(l_shipdate) AS n_ship, count(DISTINCT l_orderkey) AS n_orders,

@@ -157,6 +157,30 @@ def test_views_answer_sql(spark, world):
         assert spark.table(name).count() > 0
 
 
+def test_five_marts_from_one_scan(spark, world, tmp_path):
+    stores = spark.createDataFrame([(1, "Store"), (2, None), (3, "Store")], "restaurant_hk bigint, name string")
+    key = F.when(F.col("order_id") < 4, F.col("order_item_id") % 4).cast("bigint")  # 0 is no store, NULL neither
+    fact = build(world).withColumn("restaurant_dim_key", F.when(key != 0, key))
+    fact = fact.unionByName(fact.where("order_id = 1").withColumn("order_id", F.lit(None).cast("bigint")))
+    together = marts.all_marts(fact, world["dates"], stores)
+    apart = {
+        "vw_yearly_revenue_kpis": marts.yearly(fact, world["dates"]),
+        "vw_monthly_revenue_kpis": marts.monthly(fact, world["dates"]),
+        "vw_daily_revenue_kpis": marts.daily(fact, world["dates"]),
+        "vw_day_revenue_kpis": marts.by_day_name(fact, world["dates"]),
+        "vw_monthly_revenue_by_restaurant": marts.monthly_by_restaurant(fact, world["dates"], stores),
+    }
+    assert set(apart) == set(marts.VIEW_NAMES)
+    for name, mart in apart.items():
+        got = marts.one_mart(together, name)
+        assert got.columns == mart.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, mart.collect())), name
+    fact.write.parquet(str(tmp_path / "fact"))
+    stored = spark.read.parquet(str(tmp_path / "fact"))
+    plan = marts.all_marts(stored, world["dates"], stores)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+
+
 def test_year_over_year_leaves_gaps_empty(spark):
     cols = "year int, total_revenue decimal(18,2), total_orders bigint, avg_revenue_per_order decimal(18,2), avg_revenue_per_item decimal(18,2), max_order_value decimal(18,2)"
     one = Decimal(1)

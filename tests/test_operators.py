@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from larder.functions import masking
 from larder.operators.change_set import change_set
 from larder.operators.dedupe import latest_per_key
-from larder.operators.lookup import lookup, lookup_along_history, match_audit, orphans
+from larder.operators.lookup import lasting, lookup, lookup_along_history, match_audit, orphans
 from larder.operators.merge import merge_upsert
 from larder.operators.quality import QualityError, column_violations, duplicate_keys, quarantine, require_clean
-from larder.operators.scd2 import apply_scd2, Dimension, open_versions, scd2_history, without_place
+from larder.operators.scd2 import FIRST, apply_rows, apply_scd2, Dimension, open_versions, scd2_history, without_place
 from larder.operators.surrogate import surrogate_key
 
 DIM = Dimension("d", "hk", ("k",), ("a", "b"))
@@ -316,3 +316,23 @@ def test_quarantine_keeps_rows_without_id(spark, rows):
     kept, bad = quarantine(df, F.col("id").like("%|%"))
     assert rows(kept) == [(None,), ("1",)]
     assert rows(bad) == [("2|x",)]
+
+
+def test_the_mark_of_first_versions_is_kept_and_used(spark):
+    """With the mark a dated lookup gives what sorting the versions gives, and sorts nothing."""
+    rows = [[(k, f"{k % 3}-{step % (k % 4 + 1)}", "x") for k in range(12) if k % 5 != step % 5] for step in range(5)]
+    times = [T[0], T[1], T[1], T[2], T[3]]  # two loads at one moment: the version between them never lasts
+    table = DIM.empty_like(snap(spark, *rows[0]), marked=True)
+    for load, ts in zip(rows, times):
+        table = apply_rows(table, snap(spark, *load), DIM, ts)
+    plain = table.drop(FIRST)
+    assert plain.columns == DIM.columns
+    found, want = (sorted(map(str, lasting(t, DIM).select(*DIM.columns, FIRST).collect())) for t in (table, plain))
+    assert found == want
+    facts = spark.createDataFrame([(k, t - dt.timedelta(days=d)) for k in range(13) for t in T[:4] for d in (-1, 0, 1)], "fk long, at timestamp_ntz")
+    take = {DIM.hash_key: "found", "a": "value"}
+    results = [lookup(facts, t, DIM, F.col("fk"), take, F.col("at")) for t in (table, plain)]
+    assert sorted(map(str, results[0].collect())) == sorted(map(str, results[1].collect()))
+    flat = spark.createDataFrame(table.collect(), table.schema)
+    plan = lookup(facts, flat, DIM, F.col("fk"), take, F.col("at"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
