@@ -27,7 +27,7 @@ def nearest(vector: Column, centroids: Centroids) -> Column:
     """The struct (distance, cluster) of the nearest centroid; of equally near ones the first."""
 
     def distance(centroid: list[int]) -> Column:
-        point = F.array(*[F.lit(x).cast("bigint") for x in centroid])
+        point = F.expr(f"array({', '.join(f'{x}L' for x in centroid)})")  # one expression: a call for each number takes long
         squares = F.zip_with(vector, point, lambda a, b: (a - b) * (a - b))
         return F.aggregate(squares, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
