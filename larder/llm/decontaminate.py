@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.anchors import CELL_BITS, buffer_of, count_cells, mixed, signed, unsigned, words_of_bytes
-from larder.llm.tables import NO_ID, batch_from, batch_of, keyed, plain, slices, written
+from larder.llm.tables import NO_ID, batch_from, batch_of, keyed, plain, scratch, slices, written
 
 BROADCAST_SEEDS = 500_000  # rows of item seeds; more are joined by a shuffle
 SALTS = 16  # parts of a frequent seed in that shuffle
@@ -217,7 +217,8 @@ def _best(item: list[str], document: list[str], begins: list[int], drifts: list[
 
 def without_contaminated(docs: DataFrame, items: DataFrame, least_score: float = SCORE, cell_bits: int = CELL_BITS) -> DataFrame:
     """``docs`` without the rows whose text has a test item; all columns stay."""
-    found = matches(docs, items, least_score, cell_bits).select("k1", "k2").distinct()
+    with scratch():
+        found = written(matches(docs, items, least_score, cell_bits).select("k1", "k2").distinct(), "contaminated", outlives=True)
     k1 = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
     k2 = F.hash(F.coalesce(docs["text"].cast("string"), F.lit("")))
     return docs.join(found, (k1 == found["k1"]) & (k2 == found["k2"]), "left_anti")

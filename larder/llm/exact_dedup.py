@@ -17,10 +17,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.tables import BLANKS, batch_of, plain, width, written
+from larder.llm.tables import BLANKS, batch_of, plain, scratch, width, written
 
 FAN_OUT = 16
 BUCKET_BYTES = 64 << 20
@@ -229,21 +229,23 @@ def exact_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops; all columns stay. Of rows that repeat in id and content one stays."""
-    found = exact_dedup(docs)
-    sums = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
-    sums = written(sums.where("NOT kept OR n > 1"), "exact-gone")
-    content = F.sha2(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]", "").cast("binary"), 256)
-
-    def among(which: DataFrame):
-        return docs["doc_id"].cast("long").eqNullSafe(which["doc_id"]) & (content == which["text_sha256"])
-
-    left = docs.join(sums, among(sums), "left_anti")
-    twins = sums.where("kept")  # some row of that id and content stays, but not all of them
+    with scratch():
+        found = exact_dedup(docs)
+        sums = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+        sums = written(sums.where("NOT kept OR n > 1"), "exact-gone", outlives=True)
+
+    def named(rows: DataFrame) -> tuple[Column, Column]:
+        text = F.regexp_replace(F.coalesce(rows["text"].cast("string"), F.lit("")), r"[\x20\x09-\x0D]", "")
+        return rows["doc_id"].cast("long"), F.sha2(text.cast("binary"), 256)
+
+    doc_id, content = named(docs)
+    left = docs.join(sums, doc_id.eqNullSafe(sums["doc_id"]) & (content == sums["text_sha256"]), "left_anti")
+    twins = sums.where("kept").select(F.col("doc_id").alias("twin_id"), "text_sha256")  # one row of that id and content stays
     if not twins.limit(1).count():
         return left
-    rows = docs.join(twins, among(twins)).select(*[docs[c] for c in docs.columns], twins["doc_id"].alias("_id"), twins["text_sha256"].alias("_sha"))
-    # The longest text of them, as among all copies.
-    columns = [c for c in docs.columns]
-    packed = rows.select("_id", "_sha", F.struct(F.length("text").alias("_n"), F.struct(*[rows[c] for c in columns]).alias("_row")).alias("x"))
-    best = packed.groupBy("_id", "_sha").agg(F.max_by("x._row", "x._n").alias("row"))
-    return left.union(best.select(*[F.col("row").getField(c).alias(c) for c in columns]))
+    # A row travels as one struct, so that its columns may have any names. The longest text stays, as among all copies.
+    rows = docs.select(doc_id.alias("id"), content.alias("sha"), F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    met = rows.join(twins, F.col("id").eqNullSafe(F.col("twin_id")) & (F.col("sha") == F.col("text_sha256")))
+    text = F.col("row").getField("text").cast("string")
+    best = met.groupBy("id", "sha").agg(F.max_by("row", F.struct(F.length(text), text)).alias("row"))
+    return left.union(best.select(*[F.col("row").getField(c).alias(c) for c in docs.columns]))

@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.tables import checkpointed
+from larder.llm.tables import deleted, scratch, written
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(v, c) for each end of ``edges`` (a, b): c is the least id reachable.
 
     Union-find as joins: a large step links all neighbours above a node to its least neighbour, a small step those below
-    it, until nothing changes. Rounds grow with the logarithm of the longest chain. Each round is checkpointed.
+    it, until nothing changes. Rounds grow with the logarithm of the longest chain. Each round is written and the one
+    before it deleted.
     """
-    now = checkpointed(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("m")).distinct()
-    )
+    with scratch():
+        now = _settled(edges, max_rounds)
+        return written(now.select(F.col("u").alias("v"), F.col("m").alias("c")).union(now.select("m", "m").distinct()), "components", outlives=True)
+
+
+def _settled(edges: DataFrame, max_rounds: int) -> DataFrame:
+    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("m")).distinct(), "union-find")
     before = None
     for _ in range(max_rounds):
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "m").cast("decimal(38,0)"))).first()
@@ -28,10 +33,11 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         up = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), "m").distinct()
         low = up.groupBy("u").agg(F.min("m").alias("low"))
         down = up.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("low").alias("m")), F.struct(F.col("m").alias("u"), F.col("low").alias("m")))).alias("x"))
-        now = checkpointed(down.select("x.u", "x.m").where("u <> m").distinct())
+        last, now = now, written(down.select("x.u", "x.m").where("u <> m").distinct(), "union-find")
+        deleted(last)
     else:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
-    return now.select(F.col("u").alias("v"), F.col("m").alias("c")).union(now.select("m", "m").distinct())
+    return now
 
 
 def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3) -> DataFrame:
@@ -44,11 +50,14 @@ def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3) -
     with. What is left are candidates across components; these are verified all, so no link is lost.
     """
     known, links = None, None
-    for k in range(rounds):
-        found = checkpointed(verified(hub_pairs(buckets, known, fits, k)))
-        links = found if links is None else links.union(found)
-        known = components(links)
-    return components(links.union(checkpointed(verified(crossing_pairs(buckets, known, fits)))))
+    with scratch():
+        for k in range(rounds):
+            found = written(verified(hub_pairs(buckets, known, fits, k)), "links")
+            links = found if links is None else links.union(found)
+            last, known = known, components(links)
+            deleted(last)
+        links = links.union(written(verified(crossing_pairs(buckets, known, fits)), "links"))
+        return written(components(links), "groups", outlives=True)
 
 
 def _unsettled(buckets: DataFrame, known: DataFrame | None) -> DataFrame:
@@ -78,7 +87,7 @@ def hub_pairs(buckets: DataFrame, known: DataFrame | None, fits: Column, k: int)
 
 def crossing_pairs(buckets: DataFrame, known: DataFrame, fits: Column) -> DataFrame:
     """All candidates (a, b) of different components."""
-    left = checkpointed(_unsettled(buckets, known))
+    left = written(_unsettled(buckets, known), "unsettled")
     right = left.select("token", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("c").alias("c2"))
     met = left.join(right, "token").where("v < v2 AND c <> c2").where(fits)
     pairs = met.groupBy(F.col("v").alias("a"), F.col("v2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("l", "l2")).alias("l"))

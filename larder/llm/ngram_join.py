@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.anchors import CELL_BITS, SentCells, buffer_of, count_cells, mixed, signed, words_of_bytes
 from larder.llm.links import linked_groups
-from larder.llm.tables import batch_from, plain, slices, summed, written
+from larder.llm.tables import batch_from, plain, scratch, slices, summed, written
 
 SHINGLE = 4
 PERCENT = 85
@@ -119,11 +119,12 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     def all_tokens(batch):
         return np.concatenate([np.zeros(0, U), *(p for part in slices([batch], 1) for p, _ in prefixes(part)[1])])
 
-    buckets = written(_buckets(known, prefixes, count_cells(known, all_tokens, cell_bits)), "ngram-buckets")
-    wanted = buckets.select(F.col("v").alias("doc_id")).distinct()
-    members = written(known.join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "ngram-texts")
-    fits = (100 * F.least("n", "n2")) >= (percent * F.greatest("n", "n2"))
-    groups = linked_groups(buckets, fits, lambda pairs: _verified(pairs, members, shingle, percent))
+    with scratch():
+        buckets = _buckets(known, prefixes, count_cells(known, all_tokens, cell_bits))
+        wanted = buckets.select(F.col("v").alias("doc_id")).distinct()
+        members = written(known.join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "ngram-texts")
+        fits = (100 * F.least("n", "n2")) >= (percent * F.greatest("n", "n2"))
+        groups = written(linked_groups(buckets, fits, lambda pairs: _verified(pairs, members, shingle, percent)), "ngram-groups", outlives=True)
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("v"))
     named = classes.join(groups, "v", "left").select("d1", "d2", F.coalesce("c", "v").alias("c"))
     return sets.join(named, ["d1", "d2"], "left").select(
@@ -149,9 +150,10 @@ def _buckets(known: DataFrame, prefixes, cells: SentCells) -> DataFrame:
 
     # Copies are merged before and after the shuffle, so a group of copies sends one row per task and token.
     single = known.mapInArrow(run, TOKENS).groupBy("token", "d1").agg(F.min("v").alias("v"), F.first("n").alias("n"), F.first("l").alias("l"))
-    single = written(single.select("token", "v", "n", "l"), "ngram-tokens")
-    several = single.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    return single.join(several, "token")
+    with scratch():
+        single = written(single.select("token", "v", "n", "l"), "ngram-tokens")
+        several = single.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
+        return written(single.join(several, "token"), "ngram-buckets", outlives=True)
 
 
 def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -174,6 +176,7 @@ def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int)
 
 def keep_one_of_similar(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with only the document of the least id of each group of linked ones; rows without id or text stay."""
-    found = similar_documents(docs, **settings)
-    gone = found.where("component_id < doc_id").select("doc_id").distinct()
+    with scratch():
+        found = similar_documents(docs, **settings)
+        gone = written(found.where("component_id < doc_id").select("doc_id").distinct(), "ngram-gone", outlives=True)
     return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")

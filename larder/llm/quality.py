@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.tables import plain, summed, written
+from larder.llm.tables import plain, scratch, summed, written
 
 FEATURES = 192
 KERNEL_WIDTH = 4.0
@@ -196,5 +196,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows predicted as bad; all columns stay."""
     stats = plain(docs).select("doc_id", statistics("text").alias("stats"))
-    model = fit(labelled_statistics(stats, labels).transform(lambda df: written(df, "quality-labelled")))
+    with scratch():
+        model = fit(written(labelled_statistics(stats, labels), "quality-labelled"))
     return docs.where(scoring(model)(statistics(F.coalesce(docs["text"], F.lit("")))) >= 0.5)

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import zlib
+from contextlib import contextmanager
+from contextvars import ContextVar
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -41,17 +44,46 @@ def hex_sha256(text: Column) -> Column:
     return F.sha2(text.cast("binary") if isinstance(text, Column) else F.col(text).cast("binary"), 256)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_scopes: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("scopes", default=())
+
+
+def written(df: DataFrame, label: str, outlives: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: later readers see one result, whatever executors are lost.
 
-    The folder goes when the session ends.
+    The folder goes when the session ends, or at the end of the innermost ``scratch`` block (``outlives``: of the one
+    around it).
     """
     spark = df.sparkSession
     path = run_dir(spark, label)
     df.write.parquet(path)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    scopes = _scopes.get()[:-1] if outlives else _scopes.get()
+    if scopes:
+        scopes[-1].append(table)
+    return table
+
+
+def deleted(*tables: DataFrame | None) -> None:
+    """Deletes tables that ``written`` made and nothing will read again."""
+    for table in tables:
+        path = table is not None and _folders.pop(table, None)
+        if path:
+            folder = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch():
+    """Deletes at its end what ``written`` made inside; what is read later has to be written with ``outlives``."""
+    tables: list[DataFrame] = []
+    token = _scopes.set((*_scopes.get(), tables))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        deleted(*tables)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -1,4 +1,5 @@
 import hashlib
+import os
 import random
 import re
 
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from larder.llm.decontaminate import align, contaminations, without_contaminated
 from larder.llm.exact_dedup import ContentTable, drop_copies, exact_dedup, grace
+from larder.llm.ngram_join import keep_one_of_similar
 from larder.llm.quality import isotonic, keep_good, quality_scores, text_statistics
+from larder.session import shared_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -43,6 +46,27 @@ def test_exact_as_brute_force(spark, limit):
     assert exact_dedup(docs.limit(0)).count() == 0
 
 
+def test_drop_copies_with_clashing_names_and_ties(spark):
+    extra = "_id int, _sha string, id int, sha int, row int, twin_id int, kept int, text_sha256 int"
+    rows = [(d, t, k, "s", k, k, k, k, k, k) for k, (d, t) in enumerate(ROWS + [(11, "q "), (13, "q"), (None, "w"), (None, "w")])]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {extra}").repartition(3)
+    found = drop_copies(docs)
+    assert found.columns == docs.columns
+    kept = sorted((str(r.doc_id), r.text) for r in found.collect())
+    assert kept == sorted([("11", "q "), ("10", "x"), ("12", "z " * 50_000), ("4", "a \t b"), ("7", " \n"), ("8", "é b"), ("None", "w")])
+
+
+def test_tables_go_when_nothing_reads_them(spark):
+    before = set(os.listdir(shared_dir(spark)))
+    docs = spark.createDataFrame([(k, f"one two three four five six {k % 3}") for k in range(9)], "doc_id long, text string")
+    out = drop_copies(docs)
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(shared_dir(spark))) - before} == {"exact-gone"}
+    assert out.count() == 3
+    before = set(os.listdir(shared_dir(spark)))
+    assert keep_one_of_similar(docs, shingle=5, percent=80).count() == 3  # the three texts, each once
+    assert {name.rsplit("-", 1)[0] for name in set(os.listdir(shared_dir(spark))) - before} == {"ngram-gone"}
+
+
 def test_tables_grow_and_spill():
     records = [(f"text {k % 700}".encode(), hash(f"{k % 700}") & ((1 << 127) - 1), (0, k), 1, k) for k in range(3000)]
     total = 0
