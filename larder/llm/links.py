@@ -40,11 +40,12 @@ def _settled(edges: DataFrame, max_rounds: int) -> DataFrame:
     return now
 
 
-def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3) -> DataFrame:
+def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3, enough: Column | None = None) -> DataFrame:
     """Components (v, c) of all links between members of common buckets; vertices without links are left out.
 
     ``buckets``: token, v, n, l. ``verified(pairs)`` returns the pairs (a, b) that link, ``fits`` compares n with n2. Two
-    members are a candidate if they share as many buckets as the less demanding ``l`` of both.
+    members are a candidate if they share as many buckets as the less demanding ``l`` of both, and if ``enough`` holds for
+    their n, l, n2, l2 and the number of buckets they share, ``shared``.
 
     Large groups are mostly connected by a few rounds in which each member meets one hub, the one it shares most buckets
     with. What is left are candidates across components; these are verified all, so no link is lost.
@@ -56,7 +57,7 @@ def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3) -
             links = found if links is None else links.union(found)
             last, known = known, components(links)
             deleted(last)
-        links = links.union(written(verified(crossing_pairs(buckets, known, fits)), "links"))
+        links = links.union(written(verified(crossing_pairs(buckets, known, fits, enough)), "links"))
         return written(components(links), "groups", outlives=True)
 
 
@@ -85,10 +86,13 @@ def hub_pairs(buckets: DataFrame, known: DataFrame | None, fits: Column, k: int)
     return best.select(F.col("best.a").alias("a"), "b")
 
 
-def crossing_pairs(buckets: DataFrame, known: DataFrame, fits: Column) -> DataFrame:
+def crossing_pairs(buckets: DataFrame, known: DataFrame, fits: Column, enough: Column | None = None) -> DataFrame:
     """All candidates (a, b) of different components."""
     left = written(_unsettled(buckets, known), "unsettled")
     right = left.select("token", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("c").alias("c2"))
     met = left.join(right, "token").where("v < v2 AND c <> c2").where(fits)
-    pairs = met.groupBy(F.col("v").alias("a"), F.col("v2").alias("b")).agg(F.count("*").alias("shared"), F.min(F.least("l", "l2")).alias("l"))
-    return pairs.where("shared >= l").select("a", "b")
+    pairs = met.groupBy(F.col("v").alias("a"), F.col("v2").alias("b")).agg(
+        F.count("*").alias("shared"), *(F.first(x).alias(x) for x in ("n", "l", "n2", "l2"))
+    )
+    pairs = pairs.where("shared >= least(l, l2)")
+    return (pairs if enough is None else pairs.where(enough)).select("a", "b")

@@ -2,7 +2,8 @@
 
 All shingles have one order, the rarest first by a sketch of their counts. Two documents that are similar enough share at
 least ``l`` of the first ``n - ceil(t n) + l`` shingles of each. Every document picks its own ``l`` by estimated cost: a
-longer prefix means more rows, but asks for more shared shingles before a pair is verified.
+longer prefix means more rows, but asks for more shared shingles before a pair is verified. Sizes and the rest behind the
+prefixes bound what two sets can have in common; pairs that this rules out are not verified either.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larder.llm.anchors import CELL_BITS, SentCells, buffer_of, count_cells, mixed, signed, words_of_bytes
@@ -123,8 +124,8 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
         buckets = _buckets(known, prefixes, count_cells(known, all_tokens, cell_bits))
         wanted = buckets.select(F.col("v").alias("doc_id")).distinct()
         members = written(known.join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "ngram-texts")
-        fits = (100 * F.least("n", "n2")) >= (percent * F.greatest("n", "n2"))
-        groups = written(linked_groups(buckets, fits, lambda pairs: _verified(pairs, members, shingle, percent)), "ngram-groups", outlives=True)
+        fits = 100 * F.least("n", "n2").cast("long") >= percent * F.greatest("n", "n2").cast("long")
+        groups = written(linked_groups(buckets, fits, lambda pairs: _verified(pairs, members, shingle, percent), enough=_enough(percent)), "ngram-groups", outlives=True)
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("v"))
     named = classes.join(groups, "v", "left").select("d1", "d2", F.coalesce("c", "v").alias("c"))
     return sets.join(named, ["d1", "d2"], "left").select(
@@ -156,6 +157,17 @@ def _buckets(known: DataFrame, prefixes, cells: SentCells) -> DataFrame:
         return written(single.join(several, "token"), "ngram-buckets", outlives=True)
 
 
+def _enough(percent: int) -> Column:
+    """Whether two sets of n and n2 shingles that share ``shared`` of their prefixes can still link.
+
+    Of the two prefixes one ends first in the common order. What its set has in common with the other up to there lies in
+    both prefixes, so the sets share at most ``shared`` and all that follows its prefix. Which one it is doesn't matter if
+    the longer rest is taken.
+    """
+    rest = F.greatest(*(F.ceil(F.lit(percent) * F.col(n).cast("long") / 100) - F.col(l) for n, l in (("n", "l"), ("n2", "l2"))))
+    return (100 + percent) * (F.col("shared") + rest) >= percent * (F.col("n").cast("long") + F.col("n2"))
+
+
 def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs that link, by their whole sets. Texts of the side with fewer pairs for each travel first."""
 
