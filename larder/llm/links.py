@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.tables import deleted, scratch, written
@@ -40,12 +40,12 @@ def _settled(edges: DataFrame, max_rounds: int) -> DataFrame:
     return now
 
 
-def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3, enough: Column | None = None) -> DataFrame:
+def linked_groups(buckets: DataFrame, fits: Column, verified, rounds: int = 3, enough=None) -> DataFrame:
     """Components (v, c) of all links between members of common buckets; vertices without links are left out.
 
     ``buckets``: token, v, n, l. ``verified(pairs)`` returns the pairs (a, b) that link, ``fits`` compares n with n2. Two
-    members are a candidate if they share as many buckets as the less demanding ``l`` of both, and if ``enough`` holds for
-    their n, l, n2, l2 and the number of buckets they share, ``shared``.
+    members are a candidate if they share as many buckets as the less demanding ``l`` of both, and if ``enough(shared)`` holds
+    for their n, l, n2, l2 and the number of buckets they share; it must not turn false where ``shared`` grows.
 
     Large groups are mostly connected by a few rounds in which each member meets one hub, the one it shares most buckets
     with. What is left are candidates across components; these are verified all, so no link is lost.
@@ -86,13 +86,16 @@ def hub_pairs(buckets: DataFrame, known: DataFrame | None, fits: Column, k: int)
     return best.select(F.col("best.a").alias("a"), "b")
 
 
-def crossing_pairs(buckets: DataFrame, known: DataFrame, fits: Column, enough: Column | None = None) -> DataFrame:
-    """All candidates (a, b) of different components."""
-    left = written(_unsettled(buckets, known), "unsettled")
-    right = left.select("token", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("c").alias("c2"))
-    met = left.join(right, "token").where("v < v2 AND c <> c2").where(fits)
+def crossing_pairs(buckets: DataFrame, known: DataFrame, fits: Column, enough=None) -> DataFrame:
+    """All candidates (a, b) of different components. No pair shares more buckets than either member is left with."""
+    of_member = Window.partitionBy("v")
+    left = written(_unsettled(buckets, known).withColumn("left", F.count("*").over(of_member)), "unsettled")
+    right = left.select("token", F.col("v").alias("v2"), F.col("n").alias("n2"), F.col("l").alias("l2"), F.col("c").alias("c2"), F.col("left").alias("left2"))
+    met = left.join(right, "token").where("v < v2 AND c <> c2").where(fits).where(F.least("left", "left2") >= F.least("l", "l2"))
+    if enough is not None:
+        met = met.where(enough(F.least("left", "left2")))
     pairs = met.groupBy(F.col("v").alias("a"), F.col("v2").alias("b")).agg(
         F.count("*").alias("shared"), *(F.first(x).alias(x) for x in ("n", "l", "n2", "l2"))
     )
     pairs = pairs.where("shared >= least(l, l2)")
-    return (pairs if enough is None else pairs.where(enough)).select("a", "b")
+    return (pairs if enough is None else pairs.where(enough(F.col("shared")))).select("a", "b")

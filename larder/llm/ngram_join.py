@@ -125,7 +125,7 @@ def similar_documents(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
         wanted = buckets.select(F.col("v").alias("doc_id")).distinct()
         members = written(known.join(wanted, "doc_id").select(F.col("doc_id").alias("v"), "text"), "ngram-texts")
         fits = 100 * F.least("n", "n2").cast("long") >= percent * F.greatest("n", "n2").cast("long")
-        groups = written(linked_groups(buckets, fits, lambda pairs: _verified(pairs, members, shingle, percent), enough=_enough(percent)), "ngram-groups", outlives=True)
+        groups = written(linked_groups(buckets, fits, lambda pairs: _verified(pairs, members, shingle, percent), enough=lambda shared: _enough(shared, percent)), "ngram-groups", outlives=True)
     classes = sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("d1", "d2").agg(F.min("doc_id").alias("v"))
     named = classes.join(groups, "v", "left").select("d1", "d2", F.coalesce("c", "v").alias("c"))
     return sets.join(named, ["d1", "d2"], "left").select(
@@ -157,7 +157,7 @@ def _buckets(known: DataFrame, prefixes, cells: SentCells) -> DataFrame:
         return written(single.join(several, "token"), "ngram-buckets", outlives=True)
 
 
-def _enough(percent: int) -> Column:
+def _enough(shared: Column, percent: int) -> Column:
     """Whether two sets of n and n2 shingles that share ``shared`` of their prefixes can still link.
 
     Of the two prefixes one ends first in the common order. What its set has in common with the other up to there lies in
@@ -165,7 +165,7 @@ def _enough(percent: int) -> Column:
     the longer rest is taken.
     """
     rest = F.greatest(*(F.ceil(F.lit(percent) * F.col(n).cast("long") / 100) - F.col(l) for n, l in (("n", "l"), ("n2", "l2"))))
-    return (100 + percent) * (F.col("shared") + rest) >= percent * (F.col("n").cast("long") + F.col("n2"))
+    return (100 + percent) * (shared + rest) >= percent * (F.col("n").cast("long") + F.col("n2"))
 
 
 def _verified(pairs: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
