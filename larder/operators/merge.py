@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from larder.functions.columns import listed, quoted
 
+SMALL_SOURCE_BYTES = 16 << 20  # a broadcast passes through the driver
+
 
 def merge_upsert(
     target: DataFrame,
@@ -31,9 +33,10 @@ def merge_upsert(
     those of ``target``.
 
     By default both sides meet in one full outer join, one shuffle each. A caller
-    that has checked the size of the source (some megabytes) can say
-    ``small_source``: the target is then read twice (the second time keys only)
-    and meets a broadcast of the source, so that it is not shuffled at all.
+    that expects a small source (some megabytes) can say ``small_source``: the
+    source is read once to measure it. Up to ``SMALL_SOURCE_BYTES`` it is
+    broadcast and the target is read twice (the second time keys only) and not
+    shuffled at all; a larger one takes the full outer join.
     """
     keys = list(keys)
     shared = [c for c in target.columns if c in source.columns and c not in keys]
@@ -63,7 +66,7 @@ def merge_upsert(
     def finish(joined: DataFrame) -> DataFrame:
         return joined.selectExpr(*[quoted(c) if c in keys else next_value(c) for c in target.columns])
 
-    if small_source:
+    if small_source and _size(incoming) <= SMALL_SOURCE_BYTES:
         updated = finish(kept.join(F.broadcast(incoming), keys, "left"))
         # Never more keys than the source has.
         found = target.select(*keys).join(F.broadcast(incoming.select(*keys)), keys, "left_semi")
@@ -77,6 +80,12 @@ def merge_upsert(
     return merged
 
 
+def _size(df: DataFrame) -> int:
+    """Bytes of all rows written out as text, summed up where they are read."""
+    size = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    return df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+
+
 def insert_select(target: DataFrame, source: DataFrame) -> DataFrame:
     """Append ``source`` by column name, cast to the types of ``target``."""
     cols = [

@@ -107,7 +107,7 @@ def merge_all(r: Retail) -> DataFrame:
 
 @query("merge_upsert_small_source", _merge_sql(ALL_NEW))
 def merge_small(r: Retail) -> DataFrame:
-    """The same result on the path for small batches."""
+    """The same result on the path for small batches, as long as the new orders are one."""
     old, new = old_new(r)
     return merge_upsert(old, new, KEY, small_source=True)
 

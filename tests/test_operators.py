@@ -295,6 +295,16 @@ def test_small_source_leaves_the_target_where_it_is(spark):
     assert "Exchange hashpartitioning" not in merged._jdf.queryExecution().executedPlan().toString()
 
 
+def test_source_that_is_not_small_is_not_broadcast(spark, rows, monkeypatch):
+    target, source = snap(spark, (1, "a", "b"), (2, "c", None), (None, "n", "n")), snap(spark, (2, "C", "D"), (3, None, "E"), (None, "m", "m"))
+    small = merge_upsert(target, source, ["k"], small_source=True)
+    monkeypatch.setattr("larder.operators.merge.SMALL_SOURCE_BYTES", 100)
+    large = merge_upsert(target, source, ["k"], small_source=True)
+    assert rows(large) == rows(small) == rows(merge_upsert(target, source, ["k"]))
+    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in large._jdf.queryExecution().executedPlan().toString()
+
+
 # Quality --------------------------------------------------------------------
 
 
