@@ -15,6 +15,7 @@ from larder.sources.csv_stage import resplit
 from larder.streaming import loader as loader_module
 from larder.streaming.loader import EntityLoader
 from larder.streaming.progress import ProgressLog
+from larder.streaming.store import TableStore
 
 DAY = [dt.datetime(2024, 6, d) for d in range(1, 10)]
 
@@ -345,3 +346,38 @@ def test_closed_versions_are_written_once(spark, tmp_path):
     want = replayed.select(*columns, "eff_start_date", "eff_end_date", "is_current")
     got = s.loader.dimension().select(*columns, "eff_start_dt", "eff_end_dt", "current_flag")
     assert sorted(map(str, got.collect())) == sorted(str(r).replace("eff_start_date", "eff_start_dt").replace("eff_end_date", "eff_end_dt").replace("is_current", "current_flag") for r in want.collect())
+
+
+def test_first_load_joins_no_table_and_does_not_shuffle_for_file_keys(spark, tmp_path, monkeypatch):
+    """A first load numbers its rows as they are; the content keys of its files are broadcast to the staged rows."""
+    plans = []
+
+    def watched(df, path):
+        plans.append((path, df._jdf.queryExecution().executedPlan().toString()))
+        return write_counted(df, path)
+
+    write = TableStore.write
+
+    def watched_write(self, table, rows, *rest):
+        plans.append((table, rows._jdf.queryExecution().optimizedPlan().toString()))
+        return write(self, table, rows, *rest)
+
+    write_counted = loader_module.write_counted
+    monkeypatch.setattr(loader_module, "write_counted", watched)
+    monkeypatch.setattr(TableStore, "write", watched_write)
+    header = ",".join(f"H{i}" for i in range(len(schemas.ORDERS.file_columns)))
+    line = "{0},10,5,2024-05-01 12:00:00,10.00,{1},CARD,2024-05-01 12:00:00,2024-05-0{2} 12:00:00"
+    (tmp_path / "in").mkdir()
+    loader = EntityLoader(spark, schemas.ORDERS, str(tmp_path / "tables"), buckets=2, feed=True)
+    (tmp_path / "in" / "1.csv").write_text("\n".join([header, line.format(1, "Open", 1), line.format(2, "Open", 1)]) + "\n")
+    loader.run(str(tmp_path / "in"))
+    staged = next(p for path, p in plans if "/stage/" in path)
+    assert "BroadcastHashJoin" in staged and "SortMergeJoin" not in staged
+    assert "Join FullOuter" not in dict(plans)["clean"] and "Join LeftAnti" not in dict(plans)["clean"]
+    numbers = {r["order_id"]: r["orders_sk"] for r in loader.clean().collect()}
+    assert sorted(numbers.values()) == [1, 2]
+    (tmp_path / "in" / "2.csv").write_text("\n".join([header, line.format(2, "Done", 2), line.format(3, "Open", 2)]) + "\n")
+    loader.run(str(tmp_path / "in"))
+    assert {r["order_id"]: (r["orders_sk"], r["status"]) for r in loader.clean().collect()} == {
+        1: (numbers[1], "Open"), 2: (numbers[2], "Done"), 3: (3, "Open"),
+    }
