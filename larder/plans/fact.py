@@ -80,15 +80,12 @@ def order_headers(
     latest = latest_delivery(deliveries.select(*wanted)).drop("modified_date", "delivery_date", "delivery_id")
     # One row per calendar day: a bound that does not grow with the orders.
     days = F.broadcast(dates.select("calendar_date", F.col("date_dim_hk").alias("order_date_dim_key")))
-    rows = (
-        orders.join(latest, F.col("order_id") == F.col("order_id_fk"), "left").drop("order_id_fk")
-        .withColumn("_day", F.to_date("order_date"))
-        .join(days, F.col("_day") == F.col("calendar_date"), "left")
-        .drop("_day", "calendar_date")
-    )
+    rows = orders.join(latest, F.col("order_id") == F.col("order_id_fk"), "left").drop("order_id_fk")
     for item in lookups:
         rows = _attach(rows, item, current_only)
-    return rows
+    # Last, so that its keys are not shuffled by the lookups.
+    dated = rows.withColumn("_day", F.to_date("order_date")).join(days, F.col("_day") == F.col("calendar_date"), "left")
+    return dated.drop("_day", "calendar_date")
 
 
 def order_item_fact(

@@ -205,10 +205,11 @@ class Retail:
         return fact_plan.order_item_fact(
             self.items(),
             headers,
+            # The largest dimension first: each shuffle carries the keys found before it.
             (
+                self.lookup("menu", "menu_id_fk", "menu_dim_key"),
                 self.lookup("restaurant", "restaurant_id_fk", "restaurant_dim_key", carry=("location_id_fk",)),
                 self.lookup("location", "location_id_fk", "restaurant_location_dim_key"),
-                self.lookup("menu", "menu_id_fk", "menu_dim_key"),
             ),
         )
 

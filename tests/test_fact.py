@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from larder import schemas
 from larder.operators.scd2 import Dimension, open_versions
 from larder.plans import dashboard, marts
+from larder.plans import fact as fact_plan
 from larder.plans.date_dim import date_dim
 from larder.plans.fact import FACT_COLUMNS, Lookup, order_headers, order_item_fact
+from larder.plans.retail import Retail
 from larder.streaming.loader import FactLoader, lines_of_orders
 
 D = dt.datetime
@@ -214,3 +216,19 @@ def test_fact_loader_upserts_once_and_keeps_numbers(spark, world, tmp_path):
 
 def test_entity_dimensions_carry_the_fact_lookup_columns():
     assert "location_id_fk" in schemas.RESTAURANT.dimension.attrs
+
+
+def test_calendar_is_met_after_the_lookups(world):
+    """Date keys are not shuffled by the lookups of an order."""
+    customer = Lookup(world["customers"], CUSTOMER, "customer_id_fk", "customer_dim_key")
+    headers = order_headers(world["orders"], world["deliveries"], world["dates"], (customer,))
+    joins = [line for line in headers._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert "calendar_date" in joins[0] and not any("calendar_date" in j for j in joins[1:])
+
+
+def test_largest_dimension_is_met_with_the_narrowest_lines(spark, monkeypatch):
+    met = []
+    attach = fact_plan._attach
+    monkeypatch.setattr(fact_plan, "_attach", lambda df, item, current: met.append(item.out) or attach(df, item, current))
+    Retail(spark, "/root/testdata/sf0.001").fact()
+    assert met[-3:] == ["menu_dim_key", "restaurant_dim_key", "restaurant_location_dim_key"]
