@@ -3,7 +3,8 @@
 Of each window of a fixed length one inner gram is the anchor: the one with the least hash, the leftmost of equal ones.
 Equal windows have equal anchors, so after dealing windows out by the anchor's hash, all copies of a window are in one
 shard. Consecutive windows with the same anchor are one segment, the unit that is shipped. A bitmap of fixed size tells
-which anchors can have a partner at all, so most segments never leave their task.
+which anchors can have a partner at all; of the segments that pass, only hashes are shuffled until their anchors' partners
+are counted exactly.
 """
 
 from __future__ import annotations
@@ -14,14 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.tables import BLANKS, batch_from, batch_of, slices, width, written
 
 CELL_BITS = 27
+MOST_BITS = 29
 HOT = 20_000
 CHUNK = 1 << 18
+HELD = 1 << 20  # keys or segments that a task merges before it sends them
 U = np.uint64
 MULT, STEP = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
 
@@ -259,8 +262,8 @@ def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, least: int = 2,
     often = min(often, MOST - 1)
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cell, count = np.unique(cell_of(keys_of(batch), bits), return_counts=True)
+        for held in _held((cell_of(keys_of(batch), bits),) for batch in batches):
+            cell, count = np.unique(held[0], return_counts=True)
             cuts = np.searchsorted(cell >> block_bits, np.arange(blocks + 1)).tolist()
             rows = []
             for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
@@ -268,8 +271,7 @@ def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, least: int = 2,
                     low = (cell[a:b] & ((1 << block_bits) - 1)).astype("<u2")
                     many = np.minimum(count[a:b], MOST).astype("<u2")
                     rows.append((k, b - a, zlib.compress(low.tobytes() + many.tobytes(), 1)))
-            if rows:
-                yield batch_of(rows, "block int, n int, data binary")
+            yield batch_of(rows, "block int, n int, data binary")
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -294,6 +296,25 @@ def count_cells(rows: DataFrame, keys_of, bits: int = CELL_BITS, least: int = 2,
     return SentCells(rows.sparkSession.sparkContext, cells)
 
 
+def enough_bits(keys: int, bits: int) -> int:
+    """Bits for sixteen cells to a key, ``bits`` at least and ``MOST_BITS`` at most."""
+    return max(bits, min(MOST_BITS, (16 * keys).bit_length()))
+
+
+def _held(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Joins equally long arrays of small parts to ones of about ``HELD``, none of them empty."""
+    held, size = [], 0
+    for part in parts:
+        if len(part[0]):
+            held.append(part)
+            size += len(part[0])
+        if size >= HELD:
+            yield tuple(map(np.concatenate, zip(*held)))
+            held, size = [], 0
+    if held:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
@@ -349,25 +370,32 @@ def repeats(texts: DataFrame, segments_of, cell_bits: int, hot: int) -> Repeats:
 
         return run
 
-    classes = texts.mapInArrow(find(cells), PLACES).groupBy("h", "c")
-    classes = written(classes.agg(F.count("*").alias("n"), F.min("k1").alias("first")), "segment-classes")
-    key = lambda batch: unsigned(batch.column(0))
-    shared = count_cells(classes.select("h"), key, cell_bits, 2, hot)
-
-    def chosen(test):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts():
             for batch in batches:
-                yield batch.filter(pa.array(test(unsigned(batch.column(0)))))
-
-        return classes.mapInArrow(run, CLASSES)
-
-    several = chosen(lambda h: shared.has(h) & ~shared.has_often(h))
-    alone = chosen(lambda h: ~shared.has(h)).where("n > 1")
+                for s, _, k1, _ in _parts(batch, segments_of):
+                    s = s.take(np.flatnonzero(cells.has(s.key)))
+                    yield s.key, s.content, k1[s.doc]
+
+        for key, content, k1 in _held(parts()):
+            order = np.lexsort((k1, content, key))
+            key, content, k1 = key[order], content[order], k1[order]
+            heads = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (content[1:] != content[:-1])))
+            yield batch_from([signed(key[heads]), signed(content[heads]), np.diff(np.append(heads, len(key))), k1[heads]], CLASSES)
+
+    # Dealt by anchor, so that one shuffle serves to merge the classes and to count, exactly, those of each anchor. What
+    # passed the bitmap by chance, a class that is alone and occurs once, ends here.
+    classes = texts.mapInArrow(merge, CLASSES).repartition("h").groupBy("h", "c").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
+    classes = classes.withColumn("classes", F.count("*").over(Window.partitionBy("h"))).where("classes > 1 OR n > 1")
+    classes = written(classes, "segment-classes")
+    shared = F.col("classes").between(2, hot)
+    total = classes.agg(F.count("*").alias("all"), F.count_if(shared).alias("several"), F.count_if(F.col("classes") > hot).alias("often")).first()
+    several, alone, often = (classes.where(x).drop("classes") for x in (shared, "classes = 1", F.col("classes") > hot))
 
     def names(batch):
         return _name(unsigned(batch.column(0)), unsigned(batch.column(1)), np.asarray(batch.column(3)))
 
-    wanted = count_cells(several, names, cell_bits, 1)
+    wanted = count_cells(several, names, enough_bits(total["several"], cell_bits), 1)
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -385,9 +413,8 @@ def repeats(texts: DataFrame, segments_of, cell_bits: int, hot: int) -> Repeats:
     counts = several.select(
         "h", "c", "n", "first", *(F.lit(None).cast(kind).alias(x) for x, kind in (("anchor", "int"), ("windows", "int"), ("data", "binary")))
     )
-    # What passed the first bitmap only by chance is not moved again: a class that is alone and occurs once.
-    real = count_cells(chosen(shared.has).select("h").union(alone.select("h")), key, cell_bits, 1)
-    often = chosen(shared.has_often) if shared.any_often else None
+    real = count_cells(classes.select("h"), lambda batch: unsigned(batch.column(0)), enough_bits(total["all"], cell_bits), 1)
+    often = often if total["often"] else None
     return Repeats(texts.mapInArrow(find(cells, real), PLACES), alone, contents.union(counts).repartition(width(spark), "h"), often)
 
 

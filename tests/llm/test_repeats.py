@@ -5,9 +5,11 @@ import re
 import numpy as np
 import pytest
 
+from larder.llm import anchors
 from larder.llm.fm_dedup import remove_earlier
 from larder.llm.fm_index import FMIndex
 from larder.llm.suffix_dedup import remove_repeats
+from larder.llm.tables import keyed, plain
 
 
 def brute_bytes(rows, least):
@@ -89,6 +91,35 @@ def test_words_as_brute_force(spark, window, hot):
     assert key(map(tuple, found)) == key(brute_words(rows, window))
 
 
+def test_chance_passes_of_the_bitmap_are_not_shipped(spark):
+    """Anchors of no repeat at all share cells with each other; none is taken for an anchor of several classes."""
+    pick = random.Random(9)
+    word = lambda: "".join(pick.choice("abcdefghijklmnop") for _ in range(8))
+    docs = [(k, " ".join(word() for _ in range(120)), None) for k in range(40)]
+    copied = " ".join(word() for _ in range(30))
+
+    def segments_of(batch):
+        words = anchors.words_of_bytes(*anchors.buffer_of(batch.column(2)))
+        return anchors.segments(anchors.word_values(words), words.offsets, 13, 5), lambda s, k: b"x"
+
+    for rows, more in ((docs, 0), (docs + [(k, f"{word()} {copied} {word()}", None) for k in (50, 51)], 1)):
+        texts = keyed(plain(spark.createDataFrame(rows, "doc_id long, text string, s string"))).select("k1", "k2", "text").repartition(3)
+        found = anchors.repeats(texts, segments_of, 9, 20_000)
+        several, alone = found.shards.where("n > 0").count(), found.alone.count()
+        assert found.often is None
+        assert (several + alone > 0) == (more > 0) and several <= 8 * more
+        assert found.alone.where("n < 2").count() == 0
+
+
+def test_small_arrays_are_held_together(monkeypatch):
+    monkeypatch.setattr(anchors, "HELD", 5)
+    parts = [(np.arange(n), np.arange(n) + 1) for n in (0, 2, 4, 0, 7, 1)]
+    held = list(anchors._held(iter(parts)))
+    assert [len(a) for a, _ in held] == [6, 7, 1]
+    assert np.concatenate([a for a, _ in held]).tolist() == np.concatenate([a for a, _ in parts]).tolist()
+    assert anchors.enough_bits(10, 20) == 20 and anchors.enough_bits(1 << 20, 20) == 25 and anchors.enough_bits(1 << 40, 27) == anchors.MOST_BITS
+
+
 def test_empty_tables(spark):
     assert remove_repeats(frame(spark, []).limit(0), cell_bits=20).count() == 0
     assert remove_earlier(frame(spark, []).limit(0), cell_bits=20).count() == 0
