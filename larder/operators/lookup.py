@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.functions.columns import broadcast_if_small
 from larder.operators.scd2 import FIRST, Dimension
 
 
@@ -17,6 +18,7 @@ def lookup(
     fact_key: Column,
     take: dict[str, str],
     at: Column | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """LEFT join to a dimension, bringing ``take`` (dimension column -> new name).
 
@@ -27,7 +29,9 @@ def lookup(
     matches, so facts never multiply. Join keys are cast to the dimension's
     key type on the fact side. No hint is given: Spark measures the dimension
     and broadcasts it only below its threshold; beyond that it shuffles both
-    sides and splits skewed fact partitions.
+    sides and splits skewed fact partitions. A caller that expects a dimension
+    of some megabytes under many facts can say ``small``: what is looked up is
+    measured then and broadcast if it is (``broadcast_if_small``).
     """
     key = dim.keys[0]
     side = lasting(table, dim) if at is not None else table.where(F.col(dim.current))
@@ -36,6 +40,8 @@ def lookup(
         *([F.when(~F.col(FIRST), F.col(dim.start)).alias("_from"), F.col(dim.end).alias("_to")] if at is not None else []),
         *[F.col(c).alias(n) for c, n in take.items()],
     )
+    if small:
+        picked = broadcast_if_small(picked)
     on = fact_key.cast(table.schema[key].dataType) == F.col("_k")
     if at is not None:
         on = on & (F.col("_from").isNull() | (F.col("_from") <= at)) & (F.col("_to").isNull() | (at < F.col("_to")))

@@ -40,7 +40,8 @@ class Lookup:
     """A dimension and the column that refers to it.
 
     ``by`` names the referring column, ``out`` the fact's key column; ``carry``
-    brings further dimension columns along for later lookups.
+    brings further dimension columns along for later lookups. ``small`` expects a
+    dimension that can be broadcast, and measures it.
     """
 
     table: DataFrame
@@ -48,12 +49,13 @@ class Lookup:
     by: str
     out: str
     carry: tuple[str, ...] = ()
+    small: bool = False
 
 
 def _attach(df: DataFrame, item: Lookup, current_only: bool) -> DataFrame:
     take = {item.dim.hash_key: item.out} | {c: c for c in item.carry}
     at = None if current_only else F.col("order_date").cast("timestamp_ntz")
-    return lookup(df.drop(*item.carry), item.table, item.dim, F.col(item.by), take, at)
+    return lookup(df.drop(*item.carry), item.table, item.dim, F.col(item.by), take, at, item.small)
 
 
 def latest_delivery(deliveries: DataFrame) -> DataFrame:

@@ -187,8 +187,8 @@ class Retail:
     def dates(self) -> DataFrame:
         return date_dim(self.orders(), AS_OF)
 
-    def lookup(self, entity: str, by: str, out: str, carry: tuple[str, ...] = ()) -> fact_plan.Lookup:
-        return fact_plan.Lookup(self.dimension(entity), self.role(entity), by, out, carry)
+    def lookup(self, entity: str, by: str, out: str, carry: tuple[str, ...] = (), small: bool = False) -> fact_plan.Lookup:
+        return fact_plan.Lookup(self.dimension(entity), self.role(entity), by, out, carry, small)
 
     def fact(self) -> DataFrame:
         """The full fact. Customers, addresses and agents hang off the order, the rest off the line."""
@@ -208,7 +208,7 @@ class Retail:
             # The largest dimension first: each shuffle carries the keys found before it.
             (
                 self.lookup("menu", "menu_id_fk", "menu_dim_key"),
-                self.lookup("restaurant", "restaurant_id_fk", "restaurant_dim_key", carry=("location_id_fk",)),
+                self.lookup("restaurant", "restaurant_id_fk", "restaurant_dim_key", carry=("location_id_fk",), small=True),
                 self.lookup("location", "location_id_fk", "restaurant_location_dim_key"),
             ),
         )
@@ -217,6 +217,6 @@ class Retail:
         """Only the fact columns that revenue marts read, so only their joins."""
         deliveries = self.deliveries().select("order_id_fk", "delivery_id", "delivery_status")
         headers = fact_plan.order_headers(self.orders(), deliveries, self.dates())
-        lookups = (self.lookup("restaurant", "restaurant_id_fk", "restaurant_dim_key"),) if restaurants else ()
+        lookups = (self.lookup("restaurant", "restaurant_id_fk", "restaurant_dim_key", small=True),) if restaurants else ()
         columns = [c for c in fact_plan.FACT_COLUMNS if c in REVENUE_COLUMNS or restaurants and c == "restaurant_dim_key"]
         return fact_plan.order_item_fact(self.items(), headers, lookups, columns=columns)

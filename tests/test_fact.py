@@ -232,3 +232,29 @@ def test_largest_dimension_is_met_with_the_narrowest_lines(spark, monkeypatch):
     monkeypatch.setattr(fact_plan, "_attach", lambda df, item, current: met.append(item.out) or attach(df, item, current))
     Retail(spark, "/root/testdata/sf0.001").fact()
     assert met[-3:] == ["menu_dim_key", "restaurant_dim_key", "restaurant_location_dim_key"]
+
+
+def test_small_dimension_is_measured_and_broadcast(spark, monkeypatch):
+    from larder.functions import columns
+
+    rows = spark.createDataFrame([(1, "ab"), (2, None)], "id bigint, name string")
+    assert columns.row_bytes(rows) == 2 * 24 + 2 and columns.row_bytes(rows.where("false")) == 0
+    hinted = lambda: "ResolvedHint (strategy=broadcast)" in columns.broadcast_if_small(rows)._jdf.queryExecution().analyzed().toString()
+    assert hinted()
+    monkeypatch.setattr(columns, "SMALL_BYTES", 49)
+    assert not hinted()
+
+
+def test_lines_are_not_dealt_by_restaurant(spark, monkeypatch):
+    """The fact deals its lines by order and by menu entry; restaurants are broadcast up to a bound, whatever Spark expects of them."""
+    from larder.functions import columns
+
+    def dealt():
+        plan = Retail(spark, "/root/testdata/sf0.001").fact()._jdf.queryExecution().executedPlan().toString()
+        return [line for line in plan.splitlines() if "Exchange hashpartitioning(restaurant_id_fk" in line]
+
+    monkeypatch.setattr(columns, "SMALL_BYTES", 0)
+    large = dealt()
+    monkeypatch.undo()
+    with_bound = dealt()
+    assert large and not with_bound
