@@ -258,3 +258,15 @@ def test_lines_are_not_dealt_by_restaurant(spark, monkeypatch):
     monkeypatch.undo()
     with_bound = dealt()
     assert large and not with_bound
+
+
+def test_all_marts_deal_lines_by_order_once(spark, world, tmp_path):
+    """One shuffle of lines by order, one of sums by group; none by restaurant and none of a line for each mart."""
+    stores = spark.createDataFrame([(1, "Store"), (2, "Other")], "restaurant_hk bigint, name string")
+    fact = build(world).withColumn("restaurant_dim_key", (F.col("order_item_id") % 2 + 1).cast("bigint"))
+    fact.write.parquet(str(tmp_path / "fact"))
+    found = marts.all_marts(spark.read.parquet(str(tmp_path / "fact")), world["dates"], stores)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 2 and "mart" in dealt[0] and "hashpartitioning(order_id" in dealt[1]
+    assert marts.one_mart(found, "vw_yearly_revenue_kpis").first()["total_orders"] == marts.yearly(fact, world["dates"]).first()["total_orders"]
