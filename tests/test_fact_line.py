@@ -7,6 +7,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from larder import schemas
+from larder.session import DROP_SHUFFLES
 from larder.streaming import feed as feed_module
 from larder.streaming.fact_line import FactLine, Role
 from larder.streaming.feed import existing
@@ -175,3 +176,27 @@ def test_a_feed_tells_net_changes(spark, tmp_path):
     assert rows.count() == 4
     late = EntityLoader(spark, schemas.CUSTOMER, str(tmp_path / "other"), clock=loader.clock)
     assert existing(spark, late.feed.path, late.feed.schema).count() == 0 and late.feed.published() == -1
+
+
+def test_nothing_written_on_the_way_stays(spark, tmp_path, monkeypatch):
+    """Once committed, a batch leaves no scratch tables; its queries drop their shuffle files, those of others don't."""
+    seen, world = [], World(spark, tmp_path)
+
+    def looking(made):
+        def look(self, *args, **kwargs):
+            seen.append(spark.conf.get(DROP_SHUFFLES, "false"))
+            return made(self, *args, **kwargs)
+
+        return look
+
+    monkeypatch.setattr(EntityLoader, "_load", looking(EntityLoader._load))
+    monkeypatch.setattr(FactLine, "_touched", looking(FactLine._touched))
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    for entity, lines in FIRST.items():
+        world.deliver(entity, lines)
+    world.line.run()
+    assert seen == ["true"] * (len(FIRST) + 1) and spark.conf.get(DROP_SHUFFLES, None) == before
+    assert world.line.fact().count() == 3
+    folders = [p for p in (tmp_path / "tables").rglob("*") if p.is_dir() and any(p.glob("*.parquet"))]
+    scratch = [p for p in folders if {"incoming", "touched", "assembled"} & set(p.relative_to(tmp_path / "tables").parts)]
+    assert not scratch and len(folders) > 20
